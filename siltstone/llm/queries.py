@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, keep_together, matches, packing, pieces
-from siltstone.runtime import cut, table
+from siltstone.llm import bpe, keep_together, matches, near_duplicates, packing, pieces
+from siltstone.runtime import table
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.chunk_near_duplicates(table(spark, d, "chunks")).pairs()
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.chunk_near_duplicates(table(spark, d, "chunks")).groups()
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,7 +47,7 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(counts, "doc_id", "tokens", 2048)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_split, p4_found, p7_ids, p8_containers)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p7_ids, p8_containers)}
 
 SQL: dict[str, str] = {
     "p2_found": r"""
