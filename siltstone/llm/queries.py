@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, keep_together, matches, near_duplicates, packing, pieces
+from siltstone.llm import bpe, keep_together, matches, near_duplicates, packing, pieces, subjects
 from siltstone.runtime import table
 
 
@@ -47,7 +47,15 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(counts, "doc_id", "tokens", 2048)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p7_ids, p8_containers)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_subjects(spark, d).select("doc_id", "subject").distinct()
+
+
+def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p7_ids, p8_containers, p9_found, p9_subjects)}
 
 SQL: dict[str, str] = {
     "p2_found": r"""
