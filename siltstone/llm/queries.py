@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, keep_together, matches, near_duplicates, packing, pieces, subjects
+from siltstone.llm import bpe, credentials, keep_together, matches, near_duplicates, packing, pieces, subjects
 from siltstone.runtime import table
 
 
@@ -38,6 +38,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return matches.match_groups(table(spark, d, "chunk_matches"), table(spark, d, "chunks"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.find_secrets(table(spark, d, "source_files"))
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return credentials.redact_secrets(table(spark, d, "source_files"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.token_ids(table(spark, d, "documents"), "doc_id")
 
@@ -55,7 +63,7 @@ def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
     return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p7_ids, p8_containers, p9_found, p9_subjects)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p5_found, p5_redacted, p7_ids, p8_containers, p9_found, p9_subjects)}
 
 SQL: dict[str, str] = {
     "p2_found": r"""
