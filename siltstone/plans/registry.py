@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators import incremental
+from siltstone.plans import corpus
 from siltstone.runtime import table
 
 
@@ -15,6 +16,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_found": p6_found}
+for _plan in (corpus,):
+    QUERIES |= _plan.QUERIES
 
 SQL: dict[str, str] = {
     "p6_found": r"""
@@ -30,3 +33,5 @@ kinds AS (
   FROM now LEFT JOIN was ON was.file_key = now.file_key)
 SELECT file_key, change_kind FROM kinds WHERE change_kind IS NOT NULL""",
 }
+for _plan in (corpus,):
+    SQL |= _plan.SQL
