@@ -123,3 +123,8 @@ def page_title(url: Column) -> Column:
 def page_address(host: str, title: Column) -> Column:
     """The address of an article."""
     return F.concat(F.lit(f"https://{host}/wiki/"), F.replace(F.url_encode(F.translate(title, " ", "_")), F.lit("+"), F.lit("%20")))
+
+
+def collapse_ends(text: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
