@@ -35,7 +35,7 @@ def greedy(rows: DataFrame, key: str, order: list[str], links: DataFrame) -> Dat
     of them is kept. All rows that can be decided are decided in a round, so the rounds are as many as the longest chain
     of decisions that hang on each other, which is short where groups are dense.
     """
-    place = rows.select(F.col(key).alias("k"), F.struct(*order, key).alias("o"))
+    place = rows.select(F.col(key).alias("k"), F.struct(*[c for c in order if c != key], key).alias("o"))
     both = links.select(F.col("a").alias("k"), F.col("b").alias("j")).unionByName(links.select(F.col("b").alias("k"), F.col("a").alias("j"))).filter("k <> j").distinct()
     earlier = both.join(place, "k").join(place.select(F.col("k").alias("j"), F.col("o").alias("p")), "j").filter("p < o").select("k", "j", "p")
     earlier = cut(earlier, "earlier")
@@ -75,7 +75,7 @@ def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     # terms that only one vector has join with nothing
     indexed = unit.join(df, "term").withColumn("rest", rest).filter((F.col("rest") >= least * least - 1e-9) & (F.col("df") > 1)).select("k", "term")
     pairs = indexed.join(indexed.select(F.col("k").alias("j"), "term"), "term").filter("k < j").select("k", "j").distinct()
-    whole = unit.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("term", "x"))).alias("v"))
-    dot = F.aggregate(F.map_entries("v"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("u", e["key"]), F.lit(0.0)))
-    both = cut(pairs, "pairs").join(whole, "k").join(whole.select(F.col("k").alias("j"), F.col("v").alias("u")), "j")
-    return both.select(F.col("k").alias("a"), F.col("j").alias("b"), F.round(dot, 6).alias("similarity")).filter(F.col("similarity") >= least)
+    pairs = cut(pairs, "pairs")
+    both = pairs.join(unit, "k").join(unit.select(F.col("k").alias("j"), "term", F.col("x").alias("y")), ["j", "term"])
+    dot = F.round(F.sum(F.col("x") * F.col("y")), 4)
+    return both.groupBy(F.col("k").alias("a"), F.col("j").alias("b")).agg(dot.alias("similarity")).filter(F.col("similarity") >= least)

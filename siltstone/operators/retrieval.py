@@ -57,6 +57,16 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(tx.tokens(F.col(text))).alias("term")).groupBy("term", key).agg(F.count("*").alias("tf"))
 
 
+def tf_idf(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, value): term counts times ln(documents / documents with the term); terms of all documents count 0."""
+    counts = postings(docs, key, text)
+    df = counts.groupBy("term").agg(F.count("*").alias("df"))
+    # one row
+    n = docs.agg(F.count("*").alias("n_docs"))
+    weighted = counts.join(df, "term").crossJoin(F.broadcast(n))
+    return weighted.select(key, "term", (F.col("tf") * F.log(F.col("n_docs") / F.col("df"))).alias("value")).filter("value > 0")
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, term): the distinct terms of each query."""
     return queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("query")))).alias("term"))
