@@ -46,20 +46,22 @@ def assign(grouped: DataFrame, group: str, weight: Column, proportions: Mapping[
     borders. The order is by hash parts: starts of the parts are summed over one row a part, and the order within a
     part by its own window, so that no window covers all groups.
     """
-    sums = cut(grouped.groupBy(group).agg(F.sum(weight).cast("double").alias("w")).filter(F.col(group).isNotNull()).select(group, "w", F.xxhash64(F.lit(str(seed)), F.col(group)).alias("h")).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS))), "weights")
+    sums = grouped.select(F.col(group).alias("g"), weight.cast("double").alias("w")).filter("g is not null").groupBy("g").agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("w"))
+    sums = cut(sums.select("g", "w", F.xxhash64(F.lit(str(seed)), "g").alias("h")).withColumn("part", F.pmod(F.col("h"), F.lit(PARTS))), "weights")
     parts = sums.groupBy("part").agg(F.sum("w").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # at most PARTS rows
-    starts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0.0)).alias("start"), F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("all"))
-    upto = Window.partitionBy("part").orderBy("h", group).rowsBetween(Window.unboundedPreceding, 0)
-    placed = sums.join(F.broadcast(starts), "part").select(group, ((F.col("start") + F.sum("w").over(upto) - F.col("w") / 2) / F.col("all")).alias("at"))
+    starts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0.0)).alias("start"), F.sum("size").over(whole).alias("all"))
+    upto = Window.partitionBy("part").orderBy("h", "g").rowsBetween(Window.unboundedPreceding, 0)
+    placed = sums.join(F.broadcast(starts), "part").select("g", F.coalesce((F.col("start") + F.sum("w").over(upto) - F.col("w") / 2) / F.nullif(F.col("all"), F.lit(0.0)), F.lit(0.0)).alias("at"))
     total, edge = float(sum(proportions.values())), 0.0
     names = list(proportions)
     split = None
     for name in names[:-1]:
         edge += proportions[name] / total
         split = F.when(F.col("at") < edge, name) if split is None else split.when(F.col("at") < edge, name)
-    return placed.select(group, (F.lit(names[-1]) if split is None else split.otherwise(names[-1])).alias("split"))
+    return placed.select(F.col("g").alias(group), (F.lit(names[-1]) if split is None else split.otherwise(names[-1])).alias("split"))
 
 
 def repository_names(repos: DataFrame, seed: int = 1) -> DataFrame:
