@@ -33,6 +33,8 @@ PIECE = 4
 ROUNDS, STEP = 25, 0.1
 #: Labelled documents to train on at most (those whose ids hash lowest), and partitions that compute gradients.
 LABELLED, PARTITIONS = 4000, 8
+#: How far from the usual towards certainty the likelihood of a subject must be for a sentence to teach it.
+CLEARLY = 0.25
 #: A sentence is about the most likely subject if that is at least so likely.
 SURE = 0.5
 #: Subjects that a model may have: each is an output, and the names are held by the driver.
@@ -179,6 +181,13 @@ def train(documents: DataFrame, labels: DataFrame, names: list[str], key: str =
         return None
     count = len(names)
     before = _fit(sentences, count, seed)
+    # a sentence about nothing is as likely of a subject as any: only what is clearly likelier counts
+    given_to = sentences.select(F.explode_outer("subjects").alias("s"), "weight").groupBy("s").agg(F.sum("weight").alias("w")).filter("s is not null").collect()
+    total = sentences.agg(F.sum("weight").alias("w")).first()["w"]
+    usual = np.zeros(count)
+    for r in given_to:
+        usual[r["s"]] = r["w"] / total
+    clear = usual + CLEARLY * (1 - usual)
 
     def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -188,7 +197,7 @@ def train(documents: DataFrame, labels: DataFrame, names: list[str], key: str =
             # a subject that the document was not given needs stronger signs
             likely *= np.where(_matrix(batch["subjects"].to_numpy(), count) > 0, 1.0, 0.6)
             best, top = likely.argmax(1), likely.max(1)
-            yield batch.assign(subjects=[[int(b)] if t > 0.35 else [] for b, t in zip(best, top)])
+            yield batch.assign(subjects=[[int(b)] if t > clear[b] else [] for b, t in zip(best, top)])
 
     retold = cut(sentences.mapInPandas(tell, schema), "sentences")
     after = _fit(retold, count, seed)
