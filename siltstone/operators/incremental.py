@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.runtime import cut
+from siltstone.runtime import cut, replace_file
 
 #: Children of an inner node as bits, and records that a leaf is expected to hold.
 FAN_BITS, LEAF_RECORDS = 4, 16
@@ -174,12 +174,5 @@ class Store:
             df.write.parquet(f"{self.folder}/{version}/{part}")
         if self.current() != began:
             raise RuntimeError("another run has published since this one began")
-        text = json.dumps({"version": version, "levels": levels})
-        out = self._fs.create(self._path(f"{version}/CURRENT"), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("").toUri(), self.spark._jsc.hadoopConfiguration())
-        overwrite = self.spark._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(self._path(f"{version}/CURRENT"), self._path("CURRENT"), overwrite)
+        replace_file(self.spark, f"{self.folder}/CURRENT", json.dumps({"version": version, "levels": levels}))
         return version

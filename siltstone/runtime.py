@@ -82,3 +82,18 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(out))
     sc._siltstone_shipped = True
     atexit.register(shutil.rmtree, out.parent, True)
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one step: written beside it under another name, then renamed over it."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    target, staged = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import screening
 from siltstone.operators import chunking, golang, retrieval
 from siltstone.operators.incremental import same_commit
-from siltstone.runtime import cut
+from siltstone.runtime import cut, replace_file
 
 #: What an index's contents hang on; another index version must be built anew.
 VERSION = f"hashed-{retrieval.BUCKETS}/{chunking.VERSION}/{screening.VERSION}"
@@ -126,19 +126,9 @@ class Index:
         version = f"v-{uuid.uuid4().hex}"
         for name, df in parts.items():
             df.write.parquet(f"{self.folder}/{version}/{name}")
-        self._publish(version)
+        replace_file(self.spark, f"{self.folder}/CURRENT", json.dumps({"version": version, "made_by": VERSION}))
         return Update(counts.get("added", 0) + counts.get("changed", 0), counts.get("unchanged", 0) + counts.get("recommitted", 0), counts.get("deleted", 0) if prune else 0, made.count())
 
-    def _publish(self, version: str) -> None:
-        out = self._fs.create(self._path(f"{self.folder}/{version}/CURRENT"), True)
-        out.write(bytearray(json.dumps({"version": version, "made_by": VERSION}).encode()))
-        out.close()
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        context = hadoop.FileContext.getFileContext(self._path(self.folder).toUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark._gateway.new_array(hadoop.Options.Rename, 1)
-        options[0] = hadoop.Options.Rename.OVERWRITE
-        context.rename(self._path(f"{self.folder}/{version}/CURRENT"), self._path(f"{self.folder}/CURRENT"), options)
-
     def search(self, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
         """The best `k` chunks of each query; see `retrieval.search`."""
         return retrieval.search(self.read("chunks"), queries, k, mode)
