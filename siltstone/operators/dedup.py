@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.functions.text import fingerprint
+from siltstone.functions.text import digest, fingerprint
 from siltstone.runtime import cut, drop
 
 MAX_ROUNDS = 200
+COSINE_DIGITS = 4
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -60,22 +61,31 @@ def greedy(rows: DataFrame, key: str, order: list[str], links: DataFrame) -> Dat
     return place.select("k").join(cause, "k", "left").select(F.col("k").alias(key), F.col("duplicate_of").isNull().alias("kept"), "duplicate_of")
 
 
+def equal_texts(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(a, b, similarity): each row with the text of an earlier one, linked to the least row of that text, a < b."""
+    marked = rows.select(F.col(key).alias("b"), digest(F.col(text)).alias("_text")).filter("_text is not null")
+    least = marked.groupBy("_text").agg(F.min("b").alias("a"), F.count("*").alias("_n")).filter("_n > 1")
+    return marked.join(least, "_text").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
+
+
 def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
-    """(a, b, similarity): pairs of sparse vectors (key, term, value) whose cosine is at least `least`, a < b.
+    """(a, b, similarity): pairs of sparse vectors (key, term, value) whose cosine, rounded, is at least `least`, a < b.
 
     Exact, without comparing all pairs: terms are put in the order of how many vectors have them, rarest first, and of
-    each unit vector only the terms are indexed before the rest of it is shorter than `least`. Two vectors that share
-    no indexed term share terms only in the rest of one of them, and their product is then below `least`.
+    each unit vector only the terms are indexed before the rest of it is shorter than the least cosine that rounds to
+    `least`. Two vectors that share no indexed term share terms only in the rest of one of them, and their product is
+    then below that.
     """
     norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
     unit = cut(vectors.select(F.col(key).alias("k"), "term", (F.col("value") / norm).cast("double").alias("x")).filter("x <> 0"), "vectors")
     df = unit.groupBy("term").agg(F.count("*").alias("df"))
     rare_first = Window.partitionBy("k").orderBy("df", "term")
     rest = F.sum(F.col("x") * F.col("x")).over(rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    lowest = max(0.0, least - 0.5 * 10**-COSINE_DIGITS)
     # terms that only one vector has join with nothing
-    indexed = unit.join(df, "term").withColumn("rest", rest).filter((F.col("rest") >= least * least - 1e-9) & (F.col("df") > 1)).select("k", "term")
+    indexed = unit.join(df, "term").withColumn("rest", rest).filter((F.col("rest") >= lowest * lowest - 1e-9) & (F.col("df") > 1)).select("k", "term")
     pairs = indexed.join(indexed.select(F.col("k").alias("j"), "term"), "term").filter("k < j").select("k", "j").distinct()
     pairs = cut(pairs, "pairs")
     both = pairs.join(unit, "k").join(unit.select(F.col("k").alias("j"), "term", F.col("x").alias("y")), ["j", "term"])
-    dot = F.round(F.sum(F.col("x") * F.col("y")), 4)
+    dot = F.round(F.sum(F.col("x") * F.col("y")), COSINE_DIGITS)
     return both.groupBy(F.col("k").alias("a"), F.col("j").alias("b")).agg(dot.alias("similarity")).filter(F.col("similarity") >= least)

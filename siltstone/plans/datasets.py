@@ -27,7 +27,7 @@ def exact_dedup_first(spark: SparkSession, d: str) -> DataFrame:
 def semantic_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").filter("text is not null").select("doc_id", "text")
     vectors = retrieval.tf_idf(docs, "doc_id", "text")
-    links = dedup.close_vectors(vectors, "doc_id", 0.92)
+    links = dedup.close_vectors(vectors, "doc_id", 0.92).unionByName(dedup.equal_texts(docs, "doc_id", "text"))
     return dedup.greedy(docs, "doc_id", ["doc_id"], links)
 
 
