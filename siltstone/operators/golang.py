@@ -29,6 +29,8 @@ _KEYWORDS_GO_ON = frozenset("package import const var type func struct interface
 # Constructs that are evidence.
 CONSTRUCTS = {"go": "go_statement", "defer": "defer_statement", "select": "select_statement", "if": "if_statement", "return": "return_statement"}
 
+SYNTAX_ERROR = "syntax_error"
+
 
 @dataclass
 class Token:
@@ -39,12 +41,12 @@ class Token:
 
 
 class GoSyntaxError(ValueError):
-    """A file that is no Go source."""
+    """A file that is no Go source; says `line N`."""
 
 
 def scan(text: str) -> list[Token]:
-    """The tokens of a file, comments and line ends among them, without white space."""
-    out, at, line = [], 0, 0
+    """The tokens of a file, comments and line ends among them, without white space and a leading byte-order mark."""
+    out, at, line = [], int(text.startswith("\ufeff")), 0
     while at < len(text):
         m = _TOKEN.match(text, at)
         if not m:
@@ -245,10 +247,11 @@ def _named(code: list[Token], text: str) -> tuple[str, str]:
 def go_chunks(files: DataFrame, key: list[str], content: str, on_error: str = "raise") -> DataFrame:
     """(key, start_line, end_line, symbol, symbol_type, content, facts): the declarations of Go files.
 
-    A file that is no Go source raises, or with on_error="skip" has no chunks. Null contents have none either.
+    A file that is no Go source raises, or with on_error="skip" has no chunks, or with on_error="report" one of type
+    SYNTAX_ERROR at the line where it fails, without symbol, content and facts. Null contents have none either.
     """
-    if on_error not in ("raise", "skip"):
-        raise ValueError("on_error must be raise or skip")
+    if on_error not in ("raise", "skip", "report"):
+        raise ValueError("on_error must be raise, skip or report")
     ship(files.sparkSession)
     kinds = ", ".join(f"{files.schema[k].name} {files.schema[k].dataType.simpleString()}" for k in key)
     schema = f"{kinds}, start_line int, end_line int, symbol string, symbol_type string, content string, facts struct<package:string,imports:array<string>,calls:array<string>,constructs:array<string>,doc:string>"
@@ -262,9 +265,12 @@ def go_chunks(files: DataFrame, key: list[str], content: str, on_error: str = "r
                     continue
                 try:
                     found = declarations(text.rstrip("\n") + "\n")
-                except GoSyntaxError:
+                except GoSyntaxError as e:
                     if on_error == "raise":
                         raise
+                    if on_error == "report":
+                        line = int(str(e).split()[-1])
+                        rows.append((*row[:-1], line, line, None, SYNTAX_ERROR, None, None))
                     continue
                 lines = text.splitlines()
                 for d in found:

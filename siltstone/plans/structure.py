@@ -37,7 +37,7 @@ def line_windows(spark: SparkSession, d: str) -> DataFrame:
 
 def go_declarations(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "source_files").filter("content is not null and code_lang = 'go'").dropDuplicates(KEY)
-    return golang.go_chunks(files, KEY, "content", "skip").select(*KEY, "start_line", "end_line", "symbol", "symbol_type", F.array_join("facts.calls", ",").alias("calls"), F.array_join("facts.constructs", ",").alias("constructs"))
+    return golang.go_chunks(files, KEY, "content", "report").select(*KEY, "start_line", "end_line", "symbol", "symbol_type", F.array_join("facts.calls", ",").alias("calls"), F.array_join("facts.constructs", ",").alias("constructs"))
 
 
 _GO = """package pay

@@ -1,8 +1,9 @@
 """Queries do the whole of what they name: no row, text or group is left out."""
 
 
-from siltstone.operators import dedup
-from siltstone.plans import datasets
+from siltstone.operators import dedup, golang
+from siltstone.plans import datasets, structure
+from siltstone.streaming import index
 
 
 def test_equal_texts_without_terms_are_duplicates(spark, tmp_path):
@@ -17,3 +18,14 @@ def test_a_cosine_that_rounds_up_to_the_least_is_close(spark):
     rows = [(1, "rare", (1 - x * x) ** 0.5), (1, "shared", x), (2, "shared", 1.0)]
     got = dedup.close_vectors(spark.createDataFrame(rows, "k int, term string, value double"), "k", 0.92).collect()
     assert [tuple(r) for r in got] == [(1, 2, 0.92)]
+
+
+def test_go_files_with_a_byte_order_mark_are_read_and_refused_ones_reported(spark, tmp_path):
+    good, bad = "﻿package a\n\nfunc F() { g() }\n", "package a\n\nfunc f( {\n"
+    assert [(d["start_line"], d["symbol"]) for d in golang.declarations(good)] == [(1, "a"), (3, "F")]
+    rows = [("r", "a.go", "c", good, "go"), ("r", "b.go", "c", bad, "go"), ("r", "d.go", "c", "", "go")]
+    files = spark.createDataFrame(rows, "repo string, path string, commit_hash string, content string, code_lang string")
+    files.write.parquet(str(tmp_path / "source_files.parquet"))
+    got = sorted((r["path"], r["start_line"], r["symbol"], r["symbol_type"]) for r in structure.go_declarations(spark, str(tmp_path)).collect())
+    assert got == [("a.go", 1, "a", "package"), ("a.go", 3, "F", "function"), ("b.go", 3, None, "syntax_error")]
+    assert index.parse(files.filter("path = 'a.go'")).count() == 2
