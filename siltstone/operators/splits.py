@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions import text as tx
 from siltstone.operators.components import components
-from siltstone.runtime import cut
-
-#: Groups that are still laid out one by one; beyond, they differ too little in size to need it.
-SEQUENTIAL = 2_000
 
 
 def module_split(files: DataFrame, chunks: DataFrame, fraction: float = 0.15) -> DataFrame:
@@ -44,8 +41,8 @@ def greedy_split(groups: DataFrame, group: str, size: str, shares: Mapping[str,
     """(group, split): each group, largest first, to the split where it brings the sizes nearest to their shares.
 
     Nearness is the squared distance; ties go to the larger share, then the name. The last groups go to empty splits
-    where as many splits are empty. That is a loop by nature; it is a fold over the SEQUENTIAL largest groups in one
-    row. Smaller ones beyond those follow by hash in the proportions that the shares still lack.
+    where as many splits are empty. That is a loop by nature: one task goes through all groups in their order, and keeps
+    no more of them than the sizes of the splits.
     """
     shares = dict(shares or {"train": 0.8, "validation": 0.1, "test": 0.1})
     names = sorted(shares)
@@ -54,38 +51,22 @@ def greedy_split(groups: DataFrame, group: str, size: str, shares: Mapping[str,
     total, count = totals["all"] or 0, totals["groups"]
     if count < len(names):
         raise ValueError(f"{len(names)} splits need as many groups; there are {count}")
-    large = ordered.orderBy(F.desc("n"), "g").limit(SEQUENTIAL)
-    row = large.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "g"))).alias("gs"))
-    target = F.array(*[F.lit(total * shares[s]) for s in names])
-    number = F.sequence(F.lit(0), F.lit(len(names) - 1))
-
-    def step(state: Column, x: Column) -> Column:
-        n = -x["m"]
-        left = F.lit(count) - F.size(state["out"])
-        empty = F.size(F.filter(state["b"], lambda v: v == 0))
-        gain = lambda i: F.pow(F.get(state["b"], i) + n - F.get(target, i), 2) - F.pow(F.get(state["b"], i) - F.get(target, i), 2)
-        open_to = F.filter(number, lambda i: (left > empty) | (F.get(state["b"], i) == 0))
-        best = F.array_min(F.transform(open_to, lambda i: F.struct(gain(i).alias("gain"), (-F.get(target, i)).alias("t"), i.alias("i"))))["i"]
-        return F.struct(F.transform(state["b"], lambda v, i: F.when(i == best, v + n).otherwise(v)).alias("b"), F.concat(state["out"], F.array(best)).alias("out"))
-
-    zero = F.struct(F.array(*[F.lit(0).cast("long")] * len(names)).alias("b"), F.array().cast("array<int>").alias("out"))
-    done = row.select("gs", F.aggregate("gs", zero, step).alias("s"))
-    name = F.array(*[F.lit(s) for s in names])
-    placed = done.select(F.explode(F.arrays_zip(F.col("gs"), F.col("s.out").alias("o"))).alias("z")).select(F.col("z.gs.g").alias(group), F.get(name, F.col("z.o")).alias("split"))
-    if count <= SEQUENTIAL:
-        return placed
-    placed = cut(placed, "placed")
-    filled = {r["split"]: r["n"] for r in placed.join(ordered.withColumnRenamed("g", group), group).groupBy("split").agg(F.sum("n").alias("n")).collect()}
-    lack = [max(0.0, total * shares[s] - filled.get(s, 0)) for s in names]
-    edge, out = 0.0, F.lit(names[-1])
-    edges = []
-    for v in lack[:-1]:
-        edge += v / (sum(lack) or 1)
-        edges.append(edge)
-    for s, e in reversed(list(zip(names[:-1], edges))):
-        out = F.when(tx.hash_share(F.col(group).cast("string")) < e, s).otherwise(out)
-    rest = ordered.withColumnRenamed("g", group).join(placed, group, "left_anti").select(group, out.alias("split"))
-    return placed.unionByName(rest)
+    targets = [total * shares[s] for s in names]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled, left = [0] * len(names), count
+        for batch in batches:
+            out = []
+            for n in map(int, batch["n"]):
+                open_to = range(len(names)) if left > filled.count(0) else [i for i, v in enumerate(filled) if v == 0]
+                best = min(open_to, key=lambda i: ((filled[i] + n - targets[i]) ** 2 - (filled[i] - targets[i]) ** 2, -targets[i], i))
+                filled[best] += n
+                left -= 1
+                out.append(names[best])
+            yield pd.DataFrame({group: batch["g"], "split": out})
+
+    one = ordered.repartition(1).sortWithinPartitions(F.desc("n"), "g")
+    return one.mapInPandas(fold, f"`{group}` {ordered.schema['g'].dataType.simpleString()}, split string")
 
 
 def ratio_cap(rows: DataFrame, key: str, split: str, linked: str, least: float) -> DataFrame:

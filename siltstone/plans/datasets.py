@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from siltstone.functions import screening
 from siltstone.functions import text as tx
+from siltstone.functions.paths import plain_repo
 from siltstone.operators import components, dedup, evaluation, examples, knowledge, retrieval, splits
 from siltstone.plans.corpus import _WS, _any, _re2, _tokens
 from siltstone.runtime import table
@@ -54,7 +55,9 @@ def shared_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def greedy_group_split(spark: SparkSession, d: str) -> DataFrame:
-    sizes = table(spark, d, "source_files").groupBy(F.lower(F.regexp_extract("repo", r"([a-z]+)[-_][a-z]+", 1)).alias("team")).agg(F.count("*").alias("n")).filter("team <> ''")
+    name = F.coalesce(plain_repo(F.col("repo")), F.lit(""))
+    team = F.coalesce(F.nullif(F.regexp_extract(name, "([a-z]+)-[a-z]+", 1), F.lit("")), name)
+    sizes = table(spark, d, "source_files").groupBy(team.alias("team")).agg(F.count("*").alias("n"))
     return splits.greedy_split(sizes, "team", "n")
 
 

@@ -1,7 +1,7 @@
 """Queries do the whole of what they name: no row, text or group is left out."""
 
 
-from siltstone.operators import dedup, golang
+from siltstone.operators import dedup, golang, splits
 from siltstone.plans import datasets, structure
 from siltstone.streaming import index
 
@@ -29,3 +29,22 @@ def test_go_files_with_a_byte_order_mark_are_read_and_refused_ones_reported(spar
     got = sorted((r["path"], r["start_line"], r["symbol"], r["symbol_type"]) for r in structure.go_declarations(spark, str(tmp_path)).collect())
     assert got == [("a.go", 1, "a", "package"), ("a.go", 3, "F", "function"), ("b.go", 3, None, "syntax_error")]
     assert index.parse(files.filter("path = 'a.go'")).count() == 2
+
+
+def test_every_repository_is_split_with_its_team(spark, tmp_path):
+    repos = ["payments-api"] * 4 + ["Payments-Api", "https://host.example/x/PAYMENTS_CORE.git", "claims-web", "Claims-Web", "mono", "Mono", "ledger-core", None]
+    spark.createDataFrame([(r,) for r in repos], "repo string").write.parquet(str(tmp_path / "source_files.parquet"))
+    got = {r["team"]: r["split"] for r in datasets.greedy_group_split(spark, str(tmp_path)).collect()}
+    assert set(got) == {"payments", "claims", "mono", "ledger", ""} and set(got.values()) == {"train", "validation", "test"}
+
+
+def test_all_groups_are_split_by_the_same_rule(spark):
+    sizes = {f"g{i:04}": 1 + i % 7 for i in range(2500)}
+    goal = {"test": 0.1, "train": 0.8, "validation": 0.1}
+    filled, want = dict.fromkeys(goal, 0), {}
+    for g, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        gain = {s: (filled[s] + n - goal[s] * sum(sizes.values())) ** 2 - (filled[s] - goal[s] * sum(sizes.values())) ** 2 for s in goal}
+        want[g] = min(goal, key=lambda s: (gain[s], -goal[s], s))
+        filled[want[g]] += n
+    got = splits.greedy_split(spark.createDataFrame(list(sizes.items()), "g string, n int"), "g", "n").collect()
+    assert {r["g"]: r["split"] for r in got} == want
