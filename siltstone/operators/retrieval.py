@@ -7,15 +7,20 @@ descending, id ascending) of scores rounded to SCORE_DIGITS, so that they do not
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions import text as tx
+from siltstone.runtime import cut, ship
 
 SCORE_DIGITS = 6
 #: BM25's saturation and length normalisation; buckets of hashed vectors; the constant of rank fusion.
 K1, LENGTH_WEIGHT, BUCKETS, FUSION = 1.5, 0.75, 384, 60
+#: Documents and queries whose cosines are one product of matrices.
+DOCUMENT_BLOCK, QUERY_BLOCK = 4_000, 1_000
 MODES = ("lexical", "vector", "hybrid")
 
 # Words of a query that ask for architecture, and what then weighs how much, first match wins.
@@ -121,6 +126,40 @@ def sparse_cosine(vectors: DataFrame, key: str, asked: DataFrame) -> DataFrame:
     return both.groupBy("query_id", key).agg(F.round(F.sum(F.col("value") * F.col("q")), SCORE_DIGITS).alias("score")).filter("score > 0")
 
 
+def nearest(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, key, score): `sparse_cosine` of hashed vectors for many queries, of each at least the best `k`.
+
+    Queries and documents are laid in blocks, and each pair of blocks is one product of matrices, of which each query
+    keeps its best `k` and what ties with the last of them; `top` then has all it needs. The blocks' numbers follow from
+    counts, so that no block grows with the tables.
+    """
+    packed = lambda df, id_: df.groupBy(id_).agg(F.collect_list("bucket").alias("b"), F.collect_list("value").alias("v"))
+    docs, sought = cut(packed(vectors, key), "packed"), cut(packed(asked, "query_id"), "asked")
+    across, down = (-(-df.count() // n) or 1 for df, n in ((docs, DOCUMENT_BLOCK), (sought, QUERY_BLOCK)))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = sought.select("*", block("query_id", down).alias("y"), numbers(across).alias("x"))
+    right = docs.select("*", block(key, across).alias("x"), numbers(down).alias("y"))
+
+    def matrix(rows: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS))
+        out[np.repeat(np.arange(len(rows)), rows["b"].map(len)), np.concatenate(rows["b"].tolist())] = np.concatenate(rows["v"].tolist())
+        return out
+
+    def best(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or found.empty:
+            return pd.DataFrame({"query_id": queries["query_id"][:0], key: found[key][:0], "score": np.zeros(0)})
+        score = np.round(matrix(queries) @ matrix(found).T, SCORE_DIGITS)
+        n = score.shape[1]
+        last = np.partition(score, n - k, axis=1)[:, n - k, None] if n > k else -np.inf
+        i, j = np.nonzero((score >= last) & (score > 0))
+        return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[i], key: found[key].to_numpy()[j], "score": score[i, j]})
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    ship(vectors.sparkSession)
+    return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(best, f"query_id {kind(sought, 'query_id')}, {key} {kind(docs, key)}, score double")
+
+
 def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame) -> DataFrame:
     """(query_id, key, score): cosines of every vector with every query vector.
 

@@ -41,6 +41,29 @@ def document_search(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.top(retrieval.bm25(docs, "doc_id", "text", asked), "doc_id", 10)
 
 
+def _asked_documents(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of all documents; (query_id, query) of those whose id is divisible by 50."""
+    docs = table(spark, d, "documents").filter("text is not null").select("doc_id", "text")
+    return docs, docs.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+
+
+def _nearest_documents(docs: DataFrame, k: int) -> DataFrame:
+    vectors = retrieval.hashed_vectors(docs, "doc_id", "text")
+    asked = vectors.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    return retrieval.top(retrieval.nearest(vectors, "doc_id", asked, k), "doc_id", k)
+
+
+def hashed_document_search(spark: SparkSession, d: str) -> DataFrame:
+    return _nearest_documents(_asked_documents(spark, d)[0], 10)
+
+
+def hybrid_document_search(spark: SparkSession, d: str) -> DataFrame:
+    docs, asked = _asked_documents(spark, d)
+    n = retrieval.candidates_for(10)
+    lexical = retrieval.top(retrieval.bm25(docs, "doc_id", "text", asked), "doc_id", n)
+    return retrieval.fuse([lexical, _nearest_documents(docs, n)], "doc_id", 10)
+
+
 def hashed_vectors(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").filter("text is not null")
     return retrieval.hashed_vectors(docs, "doc_id", "text").select("doc_id", "bucket", F.round("value", 6).alias("value"))
@@ -86,7 +109,7 @@ def source_weights(spark: SparkSession, d: str) -> DataFrame:
     return paths.crossJoin(F.broadcast(questions(spark))).groupBy("query_id", weight.alias("weight")).agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (bm25_topk, document_search, hashed_vectors, hashed_vector_topk, dense_vector_topk, hybrid_topk, vector_search, find_symbol, recall_at_5, source_weights)}
+QUERIES = {f.__name__: f for f in (bm25_topk, document_search, hashed_document_search, hybrid_document_search, hashed_vectors, hashed_vector_topk, dense_vector_topk, hybrid_topk, vector_search, find_symbol, recall_at_5, source_weights)}
 
 _ASKS = " OR ".join(f"contains(lower(query), '{w}')" for w in retrieval.ARCHITECTURE)
 _WEIGHT = f"CASE WHEN NOT ({_ASKS}) THEN 1.0 " + " ".join(f"WHEN regexp_matches(lower(path), '{p}') THEN {w}" for p, w in retrieval.WEIGHTS) + " ELSE 1.0 END"

@@ -1,8 +1,8 @@
 """Queries do the whole of what they name: no row, text or group is left out."""
 
 
-from siltstone.operators import dedup, golang, splits
-from siltstone.plans import datasets, structure
+from siltstone.operators import dedup, golang, retrieval, splits
+from siltstone.plans import datasets, search, structure
 from siltstone.streaming import index
 
 
@@ -48,3 +48,22 @@ def test_all_groups_are_split_by_the_same_rule(spark):
         filled[want[g]] += n
     got = splits.greedy_split(spark.createDataFrame(list(sizes.items()), "g string, n int"), "g", "n").collect()
     assert {r["g"]: r["split"] for r in got} == want
+
+
+def test_every_fiftieth_document_is_asked(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "DOCUMENT_BLOCK", 40)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 1)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("text is not null").select("doc_id", "text")
+    vectors = retrieval.hashed_vectors(docs, "doc_id", "text")
+    asked = vectors.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    for name, k in (("hashed_document_search", 10), ("hybrid_document_search", 10)):
+        got = search.QUERIES[name](spark, "/root/testdata/sf0.001")
+        if name.startswith("hashed"):
+            want = retrieval.top(retrieval.sparse_cosine(vectors, "doc_id", asked), "doc_id", k)
+        else:
+            queries = docs.filter("doc_id % 50 = 0").toDF("query_id", "query")
+            parts = retrieval.bm25(docs, "doc_id", "text", queries), retrieval.sparse_cosine(vectors, "doc_id", asked)
+            want = retrieval.fuse([retrieval.top(x, "doc_id", 50) for x in parts], "doc_id", k)
+        rows = sorted(map(tuple, got.collect()))
+        assert rows == sorted(map(tuple, want.collect()))
+        assert {r[0] for r in rows} == {r["query_id"] for r in asked.select("query_id").distinct().collect()} and rows
