@@ -1,20 +1,24 @@
 """Near-duplicate records with small edits (problem 1), by vantage-point trees over fingerprints.
 
 Records are sets of shingles (runs of consecutive tokens); two are near-duplicates when their sets' Jaccard similarity
-is at least a threshold. A record's fingerprint is one bit of each of `BANDS * ROWS` minima of its hashed shingles, so
-that the Hamming distance of two fingerprints has mean (1 - similarity) / 2 of the bits, and near-duplicates lie within
-`radius` of each other but for one in a million.
+is at least a threshold. A record's fingerprint is a bitmap of `SKETCH` bits: each shingle flips the bit that its hash
+names. The Hamming distance of two fingerprints is never more than the number of shingles in just one of the two sets,
+which for near-duplicates is bounded by their sizes; the distance to the empty fingerprint tells of the size itself.
+So distances spread as widely as sizes do, and the triangle inequality has something to exclude; fingerprints whose
+distances all lie about half the bits apart would leave it nothing.
 
 1. Records with the same set are one class; only one of them is compared.
-2. The minima are cut into `BANDS` bands of `ROWS`. Records whose fingerprints agree on a band, at distance 0 there,
-   share a shard. At similarity 0.7 a pair misses all 40 shards with probability 2e-5, at 0.75 with 3e-7.
-   Unrelated fingerprints all lie about half the bits apart, where the triangle inequality excludes nothing; a tree
-   over all of them would compare each with each. The shards take the place of its upper levels.
-3. In a shard, a vantage-point tree over the fingerprints finds the pairs within the radius; a branch is not entered
-   where the triangle inequality shows that it holds none. A shard too large for a task is cut first by vantage points
-   that all tasks share: into rings one radius wide by distance from the point, each compared with itself and with the
-   next ring, which is where the bound lets partners be; a ring that stays too large is compared block against block.
-4. The candidates' sets are compared exactly.
+2. Records that agree on a band, `ROWS` of the minima of their hashed shingles, share a shard. At similarity 0.7 a pair
+   misses all `BANDS` shards with probability 1e-6, at 0.8 with 1e-9. Unrelated records are not even near each other in
+   any part of the tree; without shards the tree would compare the records of one size with each other.
+3. A shard is a vantage-point tree over the fingerprints. Its root is the empty fingerprint, whose rings are one step
+   of the similarity wide, so that partners lie in the same ring or the next; below, a node parts its members by their
+   distance from one of them. A branch is entered only where the triangle inequality lets it hold partners.
+4. A shard too large for a task is cut by the same vantage points, shared by all tasks: first into the rings about the
+   empty fingerprint, then into rings about members, each at least one radius wide. A ring is queried by its own
+   members and by those of the ring before, which is where the bound lets partners be. A ring that stays too large is
+   compared block against block.
+5. The candidates' sets are compared exactly.
 
 Nothing is capped: every pair within the radius that shares a shard is compared.
 """
@@ -35,24 +39,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.matches import consolidate
-from siltstone.runtime import cut, ship
+from siltstone.runtime import cut, drop, ship
 
-BANDS, ROWS = 40, 4
-#: 64-bit words of a fingerprint of BANDS * ROWS bits.
-WORDS = -(-BANDS * ROWS // 64)
+BANDS, ROWS = 20, 2
+#: Bits of a fingerprint, and 64-bit words of it.
+SKETCH = 512
+WORDS = SKETCH // 64
 #: Records of a shard that one task compares, and rounds of rings before blocks.
 SHARD, RING_ROUNDS = 4096, 3
 #: Fingerprints in a leaf of a tree.
-LEAF = 32
+LEAF = 8
 
 TOKEN = re.compile(r"[a-z0-9_]+")
 _KNOWN_TOKENS = 1 << 20
 
 
-def radius(similarity: float) -> int:
-    """Bits within which fingerprints of records at least so similar lie: the mean and five standard deviations."""
-    n, p = BANDS * ROWS, (1 - similarity) / 2
-    return math.ceil(n * p + 5 * math.sqrt(n * p * (1 - p)))
+def radius(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Bits within which the fingerprint of a similar set, no larger than a set of each of `sizes`, lies.
+
+    No set of that kind has more than (1 - s) / (1 + s) of both sizes' sum apart. Of many shingles apart, some fall on
+    one bit and cancel: then the mean of the distance and five standard deviations are less than their number.
+    """
+    apart = np.floor((1 - similarity) / (1 + similarity) * 2 * np.asarray(sizes, np.float64) + 1e-9)
+    left = np.exp(-2 * apart / SKETCH)
+    likely = np.ceil(SKETCH / 2 * (1 - left) + 5 * np.sqrt(np.maximum(SKETCH / 4 * (1 - left * left), 1.0)))
+    return np.minimum(apart, likely).astype(np.int32)
+
+
+def ring_of(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """The ring about the empty fingerprint: similar sets lie in the same or in neighbouring ones."""
+    return np.floor(np.log(np.asarray(sizes, np.float64)) / -math.log(similarity) + 1e-9).astype(np.int32)
 
 
 # --- fingerprints ----------------------------------------------------------------------------------------------------
@@ -118,25 +134,30 @@ def _minima(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def _prints(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, band keys) of each set."""
-    bits = (_mix(minima.astype(np.uint64) + np.uint64(0x5851F42D)) >> np.uint64(40)).astype(np.uint8) & 1
-    padded = np.zeros((len(bits), WORDS * 64), np.uint8)
-    padded[:, : bits.shape[1]] = bits
-    words = np.packbits(padded, axis=1).view(np.uint64)
+def _band_keys(minima: np.ndarray) -> np.ndarray:
+    """The key of each band of each set."""
     keys = np.zeros((len(minima), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for r in range(ROWS):
-        keys = _mix(keys + minima[:, r::ROWS].astype(np.uint64))
-    return words, keys
+        keys = _mix(keys + minima[:, r * BANDS : (r + 1) * BANDS].astype(np.uint64))
+    return keys
+
+
+def _prints(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The words of each set's fingerprint."""
+    n = len(starts) - 1
+    place = (_mix(hashes + np.uint64(0x5851F42D)) % np.uint64(SKETCH)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(n) * SKETCH, np.diff(starts)) + place, minlength=n * SKETCH)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(n, SKETCH), axis=1).view(np.uint64)
 
 
 WORD_NAMES = [f"w{i}" for i in range(WORDS)]
 
 
 def fingerprints(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(key, set_a, set_b, w0.., bands) of every row whose text has a shingle; one pass, no shuffle."""
+    """(key, set_a, set_b, size, w0.., bands) of every row whose text has a shingle; one pass, no shuffle."""
     ship(df.sparkSession)
     fields = [T.StructField(key, df.schema[key].dataType), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType())]
+    fields.append(T.StructField("size", T.IntegerType()))
     schema = T.StructType([*fields, *(T.StructField(w, T.LongType()) for w in WORD_NAMES), T.StructField("bands", T.ArrayType(T.LongType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +170,10 @@ def fingerprints(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
                 if not len(some):
                     continue
                 begins = np.append(starts[:-1][some], len(hashes))
-                words, keys = _prints(_minima(hashes, begins))
+                words, keys = _prints(hashes, begins), _band_keys(_minima(hashes, begins))
                 sums = [np.add.reduceat(_mix(hashes + np.uint64(seed)), begins[:-1]).view(np.int64) for seed in (1, 2)]
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(some) + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(some)), *map(pa.array, sums), *(pa.array(words[:, i].view(np.int64)) for i in range(WORDS)), bands], names=schema.names)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(some)), *map(pa.array, sums), pa.array(np.diff(begins).astype(np.int32)), *(pa.array(words[:, i].view(np.int64)) for i in range(WORDS)), bands], names=schema.names)
 
     return df.select(key, text).filter(F.col(text).isNotNull()).mapInArrow(run, schema)
 
@@ -164,45 +185,65 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
 
 
-def close_pairs(words: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, j), i < j, of fingerprints within `reach`, by a vantage-point tree built and queried together.
+def close_pairs(words: np.ndarray, sizes: np.ndarray, similarity: float, computed: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All (i, j), i < j, whose sizes and fingerprints allow so much similarity, by a vantage-point tree.
 
-    A node keeps its members by their distance from a vantage point. The queries that reach it go on to the near half
-    if their distance is at most the border plus `reach`, to the far half if it is at least the border less `reach`.
+    Each is queried for those not larger than itself. The tree is built and queried together: a branch is entered by
+    the queries whose distance from the vantage point is within the branch's own distances, give or take the query's
+    radius. The first vantage point is the empty fingerprint, from which sizes are the distances. `computed` takes the
+    number of distances computed.
     """
+    reach = radius(sizes, similarity)
+    rings = ring_of(sizes, similarity)
+    every = np.arange(len(words))
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    work = [(np.arange(len(words)), np.arange(len(words)))]
+    work: list[tuple[np.ndarray, np.ndarray]] = []
+    count = 0
+
+    def compare(queries: np.ndarray, members: np.ndarray) -> None:
+        for at in range(0, len(queries), 512):
+            some = queries[at : at + 512]
+            q, m = np.nonzero(_distance(words[some][:, None], words[members][None]) <= reach[some][:, None])
+            found.append((some[q], members[m]))
+
+    for ring in np.unique(rings):
+        members = every[rings == ring]
+        low, high = sizes[members].min(), sizes[members].max()
+        work.append((members, every[(sizes >= low) & (sizes * similarity <= high + 1e-9)]))
     while work:
         members, queries = work.pop()
-        if not len(members) or not len(queries):
+        if not len(queries):
             continue
         if len(members) <= LEAF:
-            q, m = np.nonzero(_distance(words[queries][:, None], words[members][None]) <= reach)
-            found.append((queries[q], members[m]))
+            count += len(members) * len(queries)
+            compare(queries, members)
             continue
         point, members = members[0], members[1:]
         d, e = _distance(words[members], words[point]), _distance(words[queries], words[point])
-        hit = queries[e <= reach]
+        count += len(members) + len(queries)
+        hit = queries[e <= reach[queries]]
         found.append((hit, np.full(len(hit), point)))
-        border = int(np.median(d))
-        near = d <= border
+        near = d <= int(np.median(d))
         if near.all():
-            # no border parts them: bound the members by distance and compare the rest outright
-            low, high = int(d.min()), int(d.max())
-            queries = queries[(e >= low - reach) & (e <= high + reach)]
-            for at in range(0, len(queries), 512):
-                q, m = np.nonzero(_distance(words[queries[at : at + 512]][:, None], words[members][None]) <= reach)
-                found.append((queries[at + q], members[m]))
+            near = d < d.max()
+        if not near.any():
+            # all equally far: no border parts them
+            queries = queries[np.abs(e - d[0]) <= reach[queries]]
+            count += len(members) * len(queries)
+            compare(queries, members)
             continue
-        work.append((members[near], queries[e <= border + reach]))
-        work.append((members[~near], queries[e > border - reach]))
-    a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-    b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
-    keep = a < b
-    return a[keep], b[keep]
-
-
-def _shard_pairs(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.DataFrame]:
+        for side in (near, ~near):
+            low, high = d[side].min(), d[side].max()
+            work.append((members[side], queries[(e >= low - reach[queries]) & (e <= high + reach[queries])]))
+    if computed is not None:
+        computed.append(count)
+    q = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
+    m = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
+    fit = (sizes[m] <= sizes[q]) & (sizes[m] >= similarity * sizes[q] - 1e-9) & ((sizes[m] < sizes[q]) | (q < m))
+    return np.minimum(q[fit], m[fit]), np.maximum(q[fit], m[fit])
+
+
+def _shard_pairs(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[pd.DataFrame]:
     """Pairs of each shard of a partition sorted by shard; a shard may go over several batches."""
     rest: pd.DataFrame | None = None
 
@@ -211,15 +252,17 @@ def _shard_pairs(batches: Iterator[pd.DataFrame], reach: int) -> Iterator[pd.Dat
         cuts = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)]])
         words = rows[WORD_NAMES].to_numpy(np.int64).view(np.uint64)
         rep, guest = rows["rep"].to_numpy(), rows["guest"].to_numpy()
+        size = rows["size"].to_numpy()
         left, right = [], []
-        sizes = np.diff(cuts)
+        many = np.diff(cuts)
         # most shards are pairs: those all at once
-        twos = cuts[:-1][sizes == 2]
-        twos = twos[_distance(words[twos], words[twos + 1]) <= reach]
+        twos = cuts[:-1][many == 2]
+        least, most = np.minimum(size[twos], size[twos + 1]), np.maximum(size[twos], size[twos + 1])
+        twos = twos[(least >= similarity * most - 1e-9) & (_distance(words[twos], words[twos + 1]) <= radius(most, similarity))]
         left.append(twos)
         right.append(twos + 1)
-        for lo, n in zip(cuts[:-1][sizes > 2], sizes[sizes > 2]):
-            a, b = close_pairs(words[lo : lo + n], reach)
+        for lo, n in zip(cuts[:-1][many > 2], many[many > 2]):
+            a, b = close_pairs(words[lo : lo + n], size[lo : lo + n], similarity)
             left.append(a + lo)
             right.append(b + lo)
         a, b = np.concatenate(left), np.concatenate(right)
@@ -247,25 +290,30 @@ def _bit_distance(left: list[Column], right: list[Column]) -> Column:
     return out
 
 
-def _split_shards(shards: DataFrame, reach: int, limit: int) -> DataFrame:
-    """Rows (shard, rep, guest, words) in shards of about `limit` at most; see step 3 of the module.
+def _split_shards(shards: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """Rows (shard, rep, size, reach, guest, words) in shards of about `limit` at most; see step 4 of the module.
 
     `guest` has a bit for each round in which the row is in its shard only as a partner for the others: two rows that
     share such a bit meet elsewhere.
     """
     done: DataFrame | None = None
+    carried = ["size", "reach", *WORD_NAMES]
     for turn in range(RING_ROUNDS):
-        sizes = cut(shards.groupBy("shard").agg(F.count("*").alias("n"), F.min_by(F.struct(*WORD_NAMES), F.xxhash64(F.lit(turn), "rep")).alias("point")).filter(F.col("n") > limit), "large")
+        about = F.min_by(F.struct(*WORD_NAMES), F.xxhash64(F.lit(turn), "rep"))
+        sizes = cut(shards.groupBy("shard").agg(F.count("*").alias("n"), F.max("reach").alias("most"), about.alias("point")).filter(F.col("n") > limit), "large")
         if sizes.isEmpty():
             return shards if done is None else done.unionByName(shards)
         # at most one row for `limit` rows of shards: the planner broadcasts it where that is small
         small = shards.join(sizes.select("shard"), "shard", "left_anti")
         done = small if done is None else done.unionByName(small)
-        ring = F.floor(_bit_distance([F.col(w) for w in WORD_NAMES], [F.col(f"point.{w}") for w in WORD_NAMES]) / (reach + 1)).cast("int")
-        placed = shards.join(sizes.select("shard", "point"), "shard").withColumn("ring", ring)
+        if turn == 0:
+            ring = F.floor(F.log(F.col("size").cast("double")) / -math.log(similarity) + 1e-9)
+        else:
+            ring = F.floor(_bit_distance([F.col(w) for w in WORD_NAMES], [F.col(f"point.{w}") for w in WORD_NAMES]) / (F.col("most") + 1))
+        placed = shards.join(sizes.select("shard", "point", "most"), "shard").withColumn("ring", ring.cast("int"))
         copies = F.explode(F.array(F.struct(F.col("ring").alias("at"), F.lit(0).alias("bit")), F.struct((F.col("ring") + 1).alias("at"), F.lit(1 << turn).alias("bit"))))
         placed = placed.select("*", copies.alias("c"))
-        shards = cut(placed.select(F.xxhash64("shard", F.lit(turn), "c.at").alias("shard"), "rep", F.col("guest").bitwiseOR(F.col("c.bit")).alias("guest"), *WORD_NAMES), "rings")
+        shards = cut(placed.select(F.xxhash64("shard", F.lit(turn), "c.at").alias("shard"), "rep", F.col("guest").bitwiseOR(F.col("c.bit")).alias("guest"), *carried), "rings")
     sizes = shards.groupBy("shard").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / (limit // 2)).cast("int")
     large = cut(sizes.filter(F.col("n") > limit).select("shard", blocks.alias("blocks")), "large")
@@ -275,7 +323,7 @@ def _split_shards(shards: DataFrame, reach: int, limit: int) -> DataFrame:
     # block i meets block j in the shard (i, j); pairs within a block are made in (i, i) only
     side = F.when(F.col("own") == F.col("other"), F.lit(0)).when(F.col("own") < F.col("other"), 1 << RING_ROUNDS).otherwise(2 << RING_ROUNDS)
     named = F.xxhash64("shard", F.lit(-1), F.least("own", "other"), F.greatest("own", "other"))
-    crossed = placed.select(named.alias("shard"), "rep", F.col("guest").bitwiseOR(side).alias("guest"), *WORD_NAMES)
+    crossed = placed.select(named.alias("shard"), "rep", F.col("guest").bitwiseOR(side).alias("guest"), *carried)
     rest = small.unionByName(crossed)
     return rest if done is None else done.unionByName(rest)
 
@@ -294,7 +342,6 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, key: str, text: str, similarity: float = 0.8, shingle: int = 5, shard: int = SHARD):
         rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("key is not null and text is not null")
-        reach = radius(similarity)
         prints = cut(fingerprints(rows, "key", "text", shingle).withColumn("row", F.monotonically_increasing_id()), "prints")
         classes = prints.groupBy("set_a", "set_b").agg(F.min("row").alias("rep"), F.count("*").alias("n"))
         shared = cut(classes.filter("n > 1").select("set_a", "set_b", "rep"), "copies")
@@ -306,9 +353,11 @@ class NearDuplicates:
         # counted before the shuffle, and no task holds a whole shard
         several = cut(banded.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").select("shard"), "several")
         placed = cut(banded.join(several, "shard", "left_semi"), "shards")
-        words = single.select(F.col("row").alias("rep"), *WORD_NAMES)
-        shards = _split_shards(placed.join(words, "rep").select("shard", "rep", F.lit(0).alias("guest"), *WORD_NAMES), reach, shard)
-        near = shards.repartition("shard").sortWithinPartitions("shard").mapInPandas(lambda it: _shard_pairs(it, reach), "a long, b long")
+        # no fingerprint is further than its size or the bits from the empty one: a bound of every radius in a shard
+        reach = F.least(F.floor(F.col("size") * 2 * (1 - similarity) / (1 + similarity) + 1e-9).cast("int"), F.lit(SKETCH))
+        words = single.select(F.col("row").alias("rep"), "size", reach.alias("reach"), *WORD_NAMES)
+        shards = _split_shards(placed.join(words, "rep").select("shard", "rep", F.lit(0).alias("guest"), "size", "reach", *WORD_NAMES), similarity, shard)
+        near = shards.select("shard", "rep", "guest", "size", *WORD_NAMES).repartition("shard").sortWithinPartitions("shard").mapInPandas(lambda it: _shard_pairs(it, similarity), "a long, b long")
         pairs = cut(near.distinct(), "pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         # the rows' texts again, for those in question only: one key may have several texts
@@ -321,6 +370,7 @@ class NearDuplicates:
         compared = pairs.join(named.select(F.col("row").alias("a"), F.col("shingles").alias("x")), "a").join(named.select(F.col("row").alias("b"), F.col("shingles").alias("y")), "b")
         self.links = cut(compared.select("a", "b", share.alias("similarity")).filter(F.col("similarity") >= similarity), "links")
         self.key = key
+        drop(prints, shared, several, placed, pairs, sets, named)
 
     def pairs(self) -> DataFrame:
         """(id_a, id_b) of all pairs of different keys, id_a < id_b, that are near-duplicates, copies among them."""

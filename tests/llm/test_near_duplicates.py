@@ -77,19 +77,42 @@ def test_no_rows(spark):
     assert found.pairs().count() == 0 and found.groups().count() == 0
 
 
-def test_tree_finds_all_pairs_within_reach():
-    draw = np.random.default_rng(3)
-    words = draw.integers(0, 1 << 63, (300, nd.WORDS), np.uint64)
-    near = words[:100].copy()
-    near[:, 0] ^= np.uint64(1) << draw.integers(0, 60, 100).astype(np.uint64)
-    words = np.concatenate([words, near, near[:40], near[:3].repeat(50, 0)])
-    for reach in (0, 1, 2, 40, 70):
-        a, b = nd.close_pairs(words, reach)
-        got = set(zip(a.tolist(), b.tolist()))
-        assert len(got) == len(a)
-        dist = np.bitwise_count(words[:, None] ^ words[None]).sum(-1)
-        i, j = np.nonzero(dist <= reach)
-        assert got == {(x, y) for x, y in zip(i.tolist(), j.tolist()) if x < y}
+def sets_of_many_sizes(draw):
+    """Sets as rows of a matrix: bases of many sizes, each with near copies, and their fingerprints."""
+    made = []
+    for size in draw.integers(5, 900, 60):
+        base = draw.integers(0, 1 << 50, size).astype(np.uint64)
+        for n in draw.integers(0, max(2, size // 4), 5):
+            made.append(np.unique(np.concatenate([base[n:], draw.integers(0, 1 << 50, n // 2).astype(np.uint64)])))
+    return made, nd._prints(np.concatenate(made), np.concatenate([[0], np.cumsum([len(x) for x in made])]))
+
+
+@pytest.mark.parametrize("similarity", [0.7, 0.9])
+def test_tree_finds_all_similar_sets_and_enters_few_branches(similarity):
+    made, words = sets_of_many_sizes(np.random.default_rng(3))
+    sizes, counted = np.array([len(x) for x in made]), []
+    a, b = nd.close_pairs(words, sizes, similarity, counted)
+    got = set(zip(a.tolist(), b.tolist()))
+    assert len(got) == len(a) and all(x < y for x, y in got)
+    n = len(made)
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if (s := len(np.intersect1d(made[i], made[j]))) / (sizes[i] + sizes[j] - s) >= similarity}
+    assert want <= got
+    assert counted[0] < 0.4 * n * n
+
+
+def test_no_distance_exceeds_what_is_apart():
+    made, words = sets_of_many_sizes(np.random.default_rng(4))
+    for i in range(0, len(made), 7):
+        for j in range(0, len(made), 5):
+            assert nd._distance(words[i], words[j]) <= len(np.setxor1d(made[i], made[j]))
+
+
+def test_candidates_against_all_pairs_of_a_table(spark):
+    """The recall of the whole operator, shards included, on a table: no pair of texts is missed."""
+    chunks = spark.read.parquet("/root/testdata/sf0.001/chunks.parquet")
+    rows = [tuple(r) for r in chunks.filter("length(content) >= 100 and coalesce(symbol_type not in ('package', 'import'), true)").select("id", "content").distinct().collect()]
+    got = {(r["id_a"], r["id_b"]) for r in nd.chunk_near_duplicates(chunks).pairs().collect()}
+    assert got == brute(rows, 3, 0.7)
 
 
 def test_which_chunks_take_part(spark):
