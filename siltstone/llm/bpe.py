@@ -185,12 +185,12 @@ def token_ids(df: DataFrame, key: str, text: str = "text", vocabulary: str | Non
     very long and repeated texts are encoded as any other, as a whole. Rows with a null key keep it. Other columns are
     ignored. No shuffle: one pass over the two columns.
     """
-    path = vocabulary or vocabulary_path()
     ship(df.sparkSession)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = encoder(path)
+        # found where it runs: machines need not have it in the same place
+        one = encoder(vocabulary or vocabulary_path())
         for batch in batches:
             lists = [one.encode(t) if t else [] for t in batch.column(1).to_pylist()]
             starts = np.zeros(len(lists) + 1, np.int32)
@@ -203,12 +203,12 @@ def token_ids(df: DataFrame, key: str, text: str = "text", vocabulary: str | Non
 
 def token_counts(df: DataFrame, key: str, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(key, tokens): how many ids each row's `text` has; 0 for empty and null ones."""
-    path = vocabulary or vocabulary_path()
     ship(df.sparkSession)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = encoder(path)
+        # found where it runs: machines need not have it in the same place
+        one = encoder(vocabulary or vocabulary_path())
         for batch in batches:
             sizes = [len(one.encode(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=[key, "tokens"])

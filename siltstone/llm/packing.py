@@ -7,8 +7,8 @@ the other, until one partition is left whose windows are nearly equal. It has as
 least; while its fullest window exceeds the capacity, the window count rises.
 
 Differencing is done in cells: items are hashed into as many cells as keep the expected total of each near
-`CELL` containers, whatever the table's size, so that no task sees more than a few cells and the rounding up to
-whole windows costs less than one container in `CELL`.
+`CELL` containers and its items near `CELL_ITEMS` at most, whatever the table's size, so that no task sees more than a
+few cells and the rounding up to whole windows costs less than one container in `CELL`, or one for so many items.
 """
 
 from __future__ import annotations
@@ -25,6 +25,10 @@ from siltstone.runtime import cut, ship
 
 #: Containers that the items of one cell are expected to fill.
 CELL = 512
+#: Items of one cell, as expected: empty and very small ones fill no containers, but they take time.
+CELL_ITEMS = 1 << 15
+#: Tasks that cells are spread over at most; beyond it a task has several cells, one after the other.
+TASKS = 1 << 13
 
 
 def _difference(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +93,8 @@ def pack(counts: DataFrame, key: str, size: str = "tokens", capacity: int = 2048
     # the row's number is written with it, so that it stays whatever is computed again
     items = cut(checked.withColumn("row", F.monotonically_increasing_id()), "items")
     rest = F.pmod(F.col("size"), F.lit(capacity))
-    total = items.agg(F.coalesce(F.sum(rest), F.lit(0)).alias("n")).first()["n"]
-    cells = max(1, round(total / capacity / cell))
+    sums = items.agg(F.coalesce(F.sum(rest), F.lit(0)).alias("total"), F.count("*").alias("rows")).first()
+    cells = max(1, round(sums["total"] / capacity / cell), -(-sums["rows"] // CELL_ITEMS))
     parts = F.sequence(F.lit(0), F.floor(F.col("size") / capacity) - 1)
     full = items.filter(F.col("size") >= capacity).select("key", "row", F.explode(parts).alias("part"))
     full = full.select("key", F.col("part").cast("int"), (F.col("part") * capacity).cast("long").alias("first"), F.lit(capacity).cast("long").alias("size"), F.concat_ws("-", F.lit("own"), "row", "part").alias("container"))
@@ -104,5 +108,6 @@ def pack(counts: DataFrame, key: str, size: str = "tokens", capacity: int = 2048
         where = f"{group['cell'].iloc[0]}-"
         return pd.DataFrame({"key": group["key"], "part": (group["first"] // capacity).astype("int32"), "first": group["first"], "size": group["size"], "container": [where + str(w) for w in owner]})
 
-    packed = loose.groupBy("cell").applyInPandas(fill, schema)
+    # by number: cells are small in bytes and long in time, and would be put together into one task
+    packed = loose.repartition(min(cells, TASKS), "cell").groupBy("cell").applyInPandas(fill, schema)
     return full.unionByName(packed).withColumnsRenamed({"key": key, "size": size})

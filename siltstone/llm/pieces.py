@@ -97,21 +97,31 @@ def _units(text: str, max_chars: int) -> tuple[list[str], np.ndarray, np.ndarray
 def cut_points(text: str, max_lines: int = MAX_LINES, max_chars: int = MAX_CHARS, overlap: int = 0) -> list[tuple[int, int, str]]:
     """The pieces of `text` as (first line, last line, content), lines from 0.
 
-    Each piece but the first begins with the last `overlap` units (lines, and segments of long lines) of the one
-    before, or with as many of them as take at most half of either limit. Without that, the pieces spell `text`.
-    A text within the limits is one piece, an empty one none.
+    Each piece but the first begins with the last `overlap` lines of the one before, or with as many of them as leave
+    room for what comes next. Where a cut lies in a line too long for that, the overlap is of so many segments of it,
+    half of the character limit at most. Without the overlaps, the pieces spell `text`. A text within the limits is one
+    piece, an empty one none.
     """
     units, line, penalty = _units(text, max_chars)
     n = len(units)
     if n == 0:
         return []
     chars = np.concatenate([[0], np.cumsum([len(u) for u in units])])
-    start = np.arange(n)
-    for _ in range(overlap):
-        back = np.maximum(start - 1, 0)
-        # of the unit before the cut at i, back to `back`
-        room = (chars[np.arange(n)] - chars[back] <= max_chars // 2) & (np.concatenate([[0], line[:-1]]) - line[back] + 1 <= max_lines // 2)
-        start = np.where(room, back, start)
+    every = np.arange(n)
+    start = every.copy()
+    if overlap:
+        # where no whole line fits
+        back = np.maximum(every - overlap, 0)
+        while (wide := (chars[every] - chars[back] > max_chars // 2) | (line[np.maximum(every - 1, 0)] - line[back] >= max_lines // 2)).any():
+            back[wide] += 1
+        start = back
+        first_unit = np.searchsorted(line, np.arange(line[-1] + 1))
+        for k in range(1, overlap + 1):
+            # before the cut at i, from the line k - 1 lines above that of the last unit
+            at = first_unit[np.maximum(line[np.maximum(every - 1, 0)] - k + 1, 0)]
+            fits = (chars[1:] - chars[at] <= max_chars) & (line - line[at] < max_lines)
+            start = np.where(fits, np.minimum(at, every), start)
+        start = np.maximum.accumulate(start)
     need = max(1.0, chars[-1] / max_chars, (line[-1] + 1) / max_lines)
     even = 1.0 / np.ceil(need)
     best, last = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)

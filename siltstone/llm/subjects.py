@@ -4,7 +4,8 @@ A document has a subject when at least a share of its sentences are about it. So
 is the average of learned vectors of its words and of the pieces of its words, with an independent logistic output for
 each subject. The labels are of whole documents, though, some wrong, and name a subject that most but not all sentences
 are about. So the model is trained twice: first each sentence of a labelled document has the document's subjects; then
-each has the one that the first model finds it to be about, if any, and labels that most sentences contradict die out.
+each has those that the first model finds it to be about, none, one or several, and labels that most sentences
+contradict die out. Every output is judged by itself, against its own threshold: a sentence may be about two subjects.
 
 Training sentences lie in partitions. In each round every partition computes the gradient over its sentences, the
 gradients are added up, and one step is taken for all. A gradient has the size of the model, whatever the data's size.
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,34 +37,47 @@ ROUNDS, STEP = 25, 0.1
 LABELLED, PARTITIONS = 4000, 8
 #: How far from the usual towards certainty the likelihood of a subject must be for a sentence to teach it.
 CLEARLY = 0.25
-#: A sentence is about the most likely subject if that is at least so likely.
+#: A sentence is about every subject that is at least so likely.
 SURE = 0.5
 #: Subjects that a model may have: each is an output, and the names are held by the driver.
 MOST_SUBJECTS = 1000
+#: Pieces that a worker remembers before it forgets all of them.
+KNOWN_WORDS = 200_000
 
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-_IDENTIFIER = re.compile(r"\b\w*(?:[a-zß-ÿ][A-Z]|_|\d)\w*\b|\b[A-Z]{2,}-\d+")
 _FENCE = re.compile(r"(?:^|\n)[ \t]*(```|~~~).*?(?:\n[ \t]*\1|\Z)", re.S)
 _MARK = re.compile(r"^\s*(?:[-*+•>]+|\d+[.)])\s+")
-_ASIDE = re.compile(r"`[^`\n]*`|https?://\S+|www\.\S+")
 _LINES = re.compile("[\r\n\x85\u2028\u2029]+")
 _END = re.compile(r"(?<=[.!])[\"”»)]?\s+")
+# one scan over a sentence: code, links, names of tickets, words, and the rest of what is written like words
+_PIECES = re.compile(r"`[^`\n]*`|https?://\S+|www\.\S+|[A-Z]{2,}-\d+|\w+(?:['’][^\W\d_]+)?")
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
+_CAMEL = re.compile(r"[a-zß-ÿ][A-Z]")
 
 
-def sentence_words(text: str) -> list[list[str]]:
-    """The words of each sentence of `text`: no code, headings, tables, links or identifiers.
+def is_word(piece: str) -> bool:
+    """Whether a piece of a sentence is a word: no code, link, number or identifier."""
+    return _WORD.fullmatch(piece) is not None and _CAMEL.search(piece) is None
 
-    A question and what follows it in the line are one sentence. What has fewer than three words is none.
+
+def sentences(text: str) -> Iterator[list[str]]:
+    """The pieces of each sentence of `text`, without headings, tables and code blocks.
+
+    A question and what follows it in the line are one sentence.
     """
-    out = []
-    for line in _LINES.split(_FENCE.sub("\n", text)):
+    if "```" in text or "~~~" in text:
+        text = _FENCE.sub("\n", text)
+    for line in _LINES.split(text):
         if line.lstrip().startswith(("#", "|")) or line.startswith(("\t", "    ")):
             continue
         for part in _END.split(_MARK.sub("", line)):
-            words = _WORD.findall(_IDENTIFIER.sub(" ", _ASIDE.sub(" ", part)).lower())
-            if len(words) >= 3:
-                out.append(words)
-    return out
+            if part:
+                yield _PIECES.findall(part)
+
+
+def sentence_words(text: str) -> list[list[str]]:
+    """The words of each sentence of `text`; what has fewer than three words is none."""
+    found = ([p.lower() for p in pieces if is_word(p)] for pieces in sentences(text))
+    return [words for words in found if len(words) >= 3]
 
 
 def features(word: str) -> list[int]:
@@ -96,13 +111,22 @@ class Model:
         a, b = 2 * BUCKETS * WIDTH, subjects * WIDTH
         return cls(flat[:a].reshape(-1, WIDTH), flat[a : a + b].reshape(-1, WIDTH), flat[a + b :])
 
+    def save(self, path: str) -> None:
+        """Keep the model in one file, for `load`."""
+        np.savez(path, vectors=self.vectors, outputs=self.outputs, bias=self.bias)
+
+    @classmethod
+    def load(cls, path: str) -> Model:
+        with np.load(path) as kept:
+            return cls(kept["vectors"], kept["outputs"], kept["bias"])
+
     def likely(self, hidden: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(hidden @ self.outputs.T + self.bias)))
 
 
-def _sparse(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(x) for x in lists])
-    return sizes, np.concatenate(lists).astype(np.int64)
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, values) of a column of lists."""
+    return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy().astype(np.int64)
 
 
 def _hidden(model: Model, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -121,8 +145,12 @@ def _gradient(model: Model, sizes: np.ndarray, ids: np.ndarray, wanted: np.ndarr
     return np.concatenate([vectors.ravel(), (off.T @ hidden).ravel(), off.sum(0)]).astype(np.float32)
 
 
-def _matrix(masks: np.ndarray, subjects: int) -> np.ndarray:
-    return np.array([[m in row for m in range(subjects)] for row in map(set, masks)], np.float32).reshape(len(masks), subjects)
+def _matrix(column: pa.ListArray, subjects: int) -> np.ndarray:
+    """[rows, subjects]: 1 where a row's list has the subject."""
+    sizes, values = _flat(column)
+    out = np.zeros((len(sizes), subjects), np.float32)
+    out[np.repeat(np.arange(len(sizes)), sizes), values] = 1.0
+    return out
 
 
 def _fit(sentences: DataFrame, subjects: int, seed: int) -> Model:
@@ -134,19 +162,19 @@ def _fit(sentences: DataFrame, subjects: int, seed: int) -> Model:
     for turn in range(1, ROUNDS + 1):
         sent = spark.sparkContext.broadcast(flat)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = Model.from_flat(sent.value, subjects)
             sum_ = None
             for batch in batches:
-                if len(batch):
-                    sizes, ids = _sparse(list(batch["features"]))
-                    part = _gradient(model, sizes, ids, _matrix(batch["subjects"].to_numpy(), subjects), batch["weight"].to_numpy(np.float32))
+                if batch.num_rows:
+                    sizes, ids = _flat(batch.column("features"))
+                    part = _gradient(model, sizes, ids, _matrix(batch.column("subjects"), subjects), batch.column("weight").to_numpy().astype(np.float32))
                     sum_ = part if sum_ is None else sum_ + part
             if sum_ is not None:
-                yield pd.DataFrame({"g": [sum_.tobytes()]})
+                yield pa.RecordBatch.from_pydict({"g": [sum_.tobytes()]})
 
         # one gradient a partition, each of the model's size
-        gradient = np.sum([np.frombuffer(r["g"], np.float32) for r in sentences.mapInPandas(run, "g binary").collect()], axis=0) / total
+        gradient = np.sum([np.frombuffer(r["g"], np.float32) for r in sentences.mapInArrow(run, "g binary").collect()], axis=0) / total
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         flat = (flat - STEP * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-6)).astype(np.float32)
@@ -158,14 +186,17 @@ def train(documents: DataFrame, labels: DataFrame, names: list[str], key: str =
     """A model of the subjects `names` from labels (key, subject) of some documents; None without any usable label.
 
     The labels of a document are those that anyone gave it; repeated ones count once, null or unknown subjects and
-    labels of unknown, null or empty documents not at all. At most `labelled` documents are used.
+    labels of unknown, null or empty documents not at all. At most `labelled` documents are used: those whose keys hash
+    lowest. They are chosen by key; only their texts are moved.
     """
     spark = documents.sparkSession
     ship(spark)
     numbers = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
     given = labels.select(F.col(key).alias("key"), F.try_element_at(numbers, F.col("subject")).alias("s")).filter("key is not null and s is not null").groupBy("key").agg(F.sort_array(F.collect_set("s")).alias("subjects"))
     texts = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length(F.trim("text")) > 0)
-    chosen = texts.join(given, "key").orderBy(F.xxhash64(F.lit(seed), "key"), "text").limit(labelled)
+    usable = given.join(texts.select("key").distinct(), "key", "left_semi")
+    first = cut(usable.orderBy(F.xxhash64(F.lit(seed), "key"), "key").limit(labelled), "labelled")
+    chosen = texts.join(first, "key")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,19 +220,21 @@ def train(documents: DataFrame, labels: DataFrame, names: list[str], key: str =
         usual[r["s"]] = r["w"] / total
     clear = usual + CLEARLY * (1 - usual)
 
-    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            likely = before.likely(_hidden(before, *_sparse(list(batch["features"]))))
+            likely = before.likely(_hidden(before, *_flat(batch.column("features"))))
             # a subject that the document was not given needs stronger signs
-            likely *= np.where(_matrix(batch["subjects"].to_numpy(), count) > 0, 1.0, 0.6)
-            best, top = likely.argmax(1), likely.max(1)
-            yield batch.assign(subjects=[[int(b)] if t > clear[b] else [] for b, t in zip(best, top)])
+            likely *= np.where(_matrix(batch.column("subjects"), count) > 0, 1.0, 0.6)
+            row, about = np.nonzero(likely > clear)
+            starts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            told = pa.ListArray.from_arrays(pa.array(starts), pa.array(about.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("features"), told, batch.column("weight")], names=["features", "subjects", "weight"])
 
-    retold = cut(sentences.mapInPandas(tell, schema), "sentences")
+    retold = cut(sentences.mapInArrow(tell, schema), "sentences")
     after = _fit(retold, count, seed)
-    drop(sentences, retold)
+    drop(sentences, retold, first)
     return after
 
 
@@ -216,42 +249,66 @@ def subject_shares(documents: DataFrame, model: Model, names: list[str], key: st
     sent = spark.sparkContext.broadcast(model.flat())
     schema = T.StructType([T.StructField(key, documents.schema[key].dataType), T.StructField("subject", T.StringType()), T.StructField("share", T.DoubleType()), T.StructField("sentences", T.IntegerType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = Model.from_flat(sent.value, len(names))
-        known: dict[str, tuple[np.ndarray, int]] = {}
+        known: dict[str, int] = {}
+        sums, sizes = np.zeros((1 << 10, WIDTH), np.float32), np.zeros(1 << 10, np.float32)
+
+        def add(piece: str) -> int:
+            """The row of a word's summed vectors in `sums`; 0 for what is no word."""
+            nonlocal sums, sizes
+            if not is_word(piece):
+                known[piece] = 0
+                return 0
+            ids = features(piece.lower())
+            n = len(known) + 1
+            if n >= len(sums):
+                sums, sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (sums, sizes))
+            sums[n], sizes[n] = one.vectors[ids].sum(0), len(ids)
+            known[piece] = n
+            return n
 
-        def add(word: str) -> tuple[np.ndarray, int]:
-            if len(known) > 200_000:
+        for batch in batches:
+            if len(known) > KNOWN_WORDS:
                 known.clear()
-            ids = features(word)
-            known[word] = found = (one.vectors[ids].sum(0), len(ids))
-            return found
+            rows: list[int] = []
+            counts: list[int] = []
+            owners: list[int] = []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                for pieces in sentences(t):
+                    words = [n for p in pieces if (n := known[p] if p in known else add(p))]
+                    if len(words) >= 3:
+                        rows += words
+                        counts.append(len(words))
+                        owners.append(i)
+            if not counts:
+                continue
+            starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+            at = np.array(rows)
+            hidden = np.add.reduceat(sums[at], starts, axis=0) / np.add.reduceat(sizes[at], starts)[:, None]
+            about = np.zeros((batch.num_rows, len(names)), np.int64)
+            sentence, subject = np.nonzero(one.likely(hidden) >= SURE)
+            owner = np.array(owners)
+            np.add.at(about, (owner[sentence], subject), 1)
+            total = np.bincount(owner, minlength=batch.num_rows)
+            doc, s = np.nonzero(about)
+            told = [batch.column(0).take(pa.array(doc)), pa.array([names[i] for i in s]), pa.array(about[doc, s] / total[doc]), pa.array(total[doc].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(told, names=schema.names)
 
-        for batch in batches:
-            rows = []
-            for k, t in zip(batch[key], batch[text]):
-                found = sentence_words(t)
-                if not found:
-                    continue
-                words = [known.get(w) or add(w) for s in found for w in s]
-                starts = np.concatenate([[0], np.cumsum([len(s) for s in found])[:-1]])
-                sums = np.add.reduceat(np.array([v for v, _ in words]), starts, axis=0)
-                likely = one.likely(sums / np.add.reduceat(np.array([n for _, n in words], np.float32), starts)[:, None])
-                best = likely.argmax(1)[likely.max(1) >= SURE]
-                about = np.bincount(best, minlength=len(names))
-                rows += [(k, names[s], float(about[s]) / len(found), len(found)) for s in np.flatnonzero(about)]
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return documents.select(key, text).filter(F.length(F.trim(text)) > 0).mapInPandas(run, schema)
-
-
-def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, least: float = 0.2) -> DataFrame:
-    """(doc_id, subject, share) of the subjects that at least `least` of a document's sentences are about."""
+    return documents.select(key, text).filter(F.length(F.trim(text)) > 0).mapInArrow(run, schema)
+
+
+def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, least: float = 0.2, model: Model | None = None) -> DataFrame:
+    """(doc_id, subject, share) of the subjects that at least `least` of a document's sentences are about.
+
+    `model` is one that was trained on the same subjects before; without it one is trained.
+    """
     rows = subjects.select("subject").filter("subject is not null").distinct().orderBy("subject").limit(MOST_SUBJECTS + 1).collect()
     names = [r["subject"] for r in rows]
     if len(names) > MOST_SUBJECTS:
         raise ValueError(f"more than {MOST_SUBJECTS} subjects")
-    model = train(documents, labels, names) if names else None
+    if model is None and names:
+        model = train(documents, labels, names)
     if model is None:
         return documents.select("doc_id", F.lit("").alias("subject"), F.lit(0.0).alias("share")).limit(0)
     return subject_shares(documents, model, names).filter(F.col("share") >= least - 1e-9).select("doc_id", "subject", "share")

@@ -120,3 +120,18 @@ def test_line_counts_equal_python(spark):
     texts = ["", "a", "a\n", "a\r\n", "a\r", "\n\r", "\r\n\n", "a\rb\r\nc\nd"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", pieces.line_count(F.col("t")).alias("n")).collect()
     assert {r["t"]: r["n"] for r in got} == {t: lines(t) for t in texts}
+
+
+def test_the_overlap_asked_for_is_delivered():
+    for width, want in ((700, 8), (20, 8), (1100, 7)):
+        text = "\n".join("x" * width for _ in range(400 if width == 20 else 40))
+        found = pieces.cut_points(text, overlap=8)
+        assert {a[1] - b[0] + 1 for a, b in zip(found, found[1:])} == {want}
+        assert all(len(c) <= 8000 and b - a < 160 for a, b, c in found)
+    assert all(len(c) <= 8000 for _, _, c in pieces.cut_points("z" * 30000, overlap=8))
+
+
+def test_many_empty_items_are_spread_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CELL_ITEMS", 50)
+    got = packing.pack(spark.range(400).selectExpr("id", "0L as tokens"), "id").collect()
+    assert len(got) == 400 and len({r["container"] for r in got}) > 4
