@@ -37,6 +37,8 @@ ROUNDS, STEP = 25, 0.1
 LABELLED, PARTITIONS = 4000, 8
 #: How far from the usual towards certainty the likelihood of a subject must be for a sentence to teach it.
 CLEARLY = 0.25
+#: A sentence teaches a second subject if that is at least this part as likely as the first.
+BESIDE = 0.95
 #: A sentence is about every subject that is at least so likely.
 SURE = 0.5
 #: Subjects that a model may have: each is an output, and the names are held by the driver.
@@ -227,7 +229,8 @@ def train(documents: DataFrame, labels: DataFrame, names: list[str], key: str =
             likely = before.likely(_hidden(before, *_flat(batch.column("features"))))
             # a subject that the document was not given needs stronger signs
             likely *= np.where(_matrix(batch.column("subjects"), count) > 0, 1.0, 0.6)
-            row, about = np.nonzero(likely > clear)
+            # two subjects teach by one sentence where the signs are about as strong for both
+            row, about = np.nonzero((likely > clear) & (likely >= BESIDE * likely.max(1, keepdims=True)))
             starts = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             told = pa.ListArray.from_arrays(pa.array(starts), pa.array(about.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("features"), told, batch.column("weight")], names=["features", "subjects", "weight"])
