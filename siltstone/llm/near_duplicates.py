@@ -9,7 +9,7 @@ distances all lie about half the bits apart would leave it nothing.
 
 1. Records with the same set are one class; only one of them is compared.
 2. Records that agree on a band, `ROWS` of the minima of their hashed shingles, share a shard. At similarity 0.7 a pair
-   misses all `BANDS` shards with probability 1e-6, at 0.8 with 1e-9. Unrelated records are not even near each other in
+   misses all `BANDS` shards with probability 2e-5, at 0.8 with 8e-8. Unrelated records are not even near each other in
    any part of the tree; without shards the tree would compare the records of one size with each other.
 3. A shard is a vantage-point tree over the fingerprints. Its root is the empty fingerprint, whose rings are one step
    of the similarity wide, so that partners lie in the same ring or the next; below, a node parts its members by their
@@ -41,9 +41,9 @@ from pyspark.sql import types as T
 from siltstone.llm.matches import consolidate
 from siltstone.runtime import cut, drop, ship
 
-BANDS, ROWS = 20, 2
+BANDS, ROWS = 16, 2
 #: Bits of a fingerprint, and 64-bit words of it.
-SKETCH = 512
+SKETCH = 256
 WORDS = SKETCH // 64
 #: Records of a shard that one task compares, and rounds of rings before blocks.
 SHARD, RING_ROUNDS = 4096, 3
@@ -348,14 +348,16 @@ class NearDuplicates:
         told = cut(prints.select("key", "set_a", "set_b", "row").join(shared, ["set_a", "set_b"], "left").select("key", "row", F.coalesce("rep", "row").alias("rep")), "members")
         self.members = told.select("key", "rep").distinct()
         copies = told.filter("row <> rep").select("row")
-        single = prints.join(copies, "row", "left_anti")
-        banded = single.select(F.explode("bands").alias("shard"), F.col("row").alias("rep"))
+        # the only pass that moves whole fingerprints; what is needed of them later is read from here
+        single = cut(prints.join(copies, "row", "left_anti").select(F.col("row").alias("rep"), "set_a", "set_b", "size", "bands", *WORD_NAMES), "single")
+        drop(prints, shared)
+        banded = single.select(F.explode("bands").alias("shard"), "rep")
         # counted before the shuffle, and no task holds a whole shard
         several = cut(banded.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").select("shard"), "several")
         placed = cut(banded.join(several, "shard", "left_semi"), "shards")
         # no fingerprint is further than its size or the bits from the empty one: a bound of every radius in a shard
         reach = F.least(F.floor(F.col("size") * 2 * (1 - similarity) / (1 + similarity) + 1e-9).cast("int"), F.lit(SKETCH))
-        words = single.select(F.col("row").alias("rep"), "size", reach.alias("reach"), *WORD_NAMES)
+        words = single.select("rep", "size", reach.alias("reach"), *WORD_NAMES)
         shards = _split_shards(placed.join(words, "rep").select("shard", "rep", F.lit(0).alias("guest"), "size", "reach", *WORD_NAMES), similarity, shard)
         near = shards.select("shard", "rep", "guest", "size", *WORD_NAMES).repartition("shard").sortWithinPartitions("shard").mapInPandas(lambda it: _shard_pairs(it, similarity), "a long, b long")
         pairs = cut(near.distinct(), "pairs")
@@ -363,14 +365,14 @@ class NearDuplicates:
         # the rows' texts again, for those in question only: one key may have several texts
         keys = told.join(asked, "row", "left_semi").select("key").distinct()
         sets = cut(_exact_sets(rows.join(keys, "key", "left_semi"), shingle).dropDuplicates(["set_a", "set_b"]), "sets")
-        named = prints.select("row", "set_a", "set_b").join(asked, "row", "left_semi").join(sets, ["set_a", "set_b"]).select("row", "shingles")
+        named = single.select(F.col("rep").alias("row"), "set_a", "set_b").join(asked, "row", "left_semi").join(sets, ["set_a", "set_b"]).select("row", "shingles")
         named = cut(named, "sets")
         both = F.size(F.array_intersect("x", "y"))
         share = both / (F.size("x") + F.size("y") - both)
         compared = pairs.join(named.select(F.col("row").alias("a"), F.col("shingles").alias("x")), "a").join(named.select(F.col("row").alias("b"), F.col("shingles").alias("y")), "b")
         self.links = cut(compared.select("a", "b", share.alias("similarity")).filter(F.col("similarity") >= similarity), "links")
         self.key = key
-        drop(prints, shared, several, placed, pairs, sets, named)
+        drop(single, several, placed, pairs, sets, named)
 
     def pairs(self) -> DataFrame:
         """(id_a, id_b) of all pairs of different keys, id_a < id_b, that are near-duplicates, copies among them."""
