@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.llm import bpe, credentials, keep_together, matches, near_duplicates, packing, pieces, subjects
-from siltstone.runtime import table
+from siltstone.runtime import cut, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -26,6 +27,13 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.split_oversized(table(spark, d, "chunks"), "id", "content", "start_line", overlap=8)
 
 
+def p2_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Of each oversized chunk, whether its pieces keep the limits, and the lines that they cover."""
+    found = p2_pieces(spark, d)
+    within = (pieces.line_count(F.col("content")) <= pieces.MAX_LINES) & (F.length("content") <= pieces.MAX_CHARS)
+    return found.groupBy("id").agg(F.min(within).alias("within"), F.min("start_line").alias("first_line"), F.max("end_line").alias("last_line"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return keep_together.modules(table(spark, d, "chunks"), table(spark, d, "repos"))
 
@@ -34,6 +42,11 @@ def p3_split(spark: SparkSession, d: str) -> DataFrame:
     return keep_together.module_splits(table(spark, d, "chunks"), table(spark, d, "repos"))
 
 
+def p3_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Of each module, how many splits its chunks are in."""
+    return p3_split(spark, d).groupBy("group_key").agg(F.count_distinct("split").alias("splits"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return matches.match_groups(table(spark, d, "chunk_matches"), table(spark, d, "chunks"))
 
@@ -46,6 +59,11 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
     return credentials.redact_secrets(table(spark, d, "source_files"))
 
 
+def p5_lines(spark: SparkSession, d: str) -> DataFrame:
+    """How many lines and messages each redacted version has."""
+    return p5_redacted(spark, d).select("repo", "path", "commit_hash", pieces.line_count(F.col("content")).alias("lines"), F.size("commit_messages").alias("messages"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.token_ids(table(spark, d, "documents"), "doc_id")
 
@@ -55,6 +73,15 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(counts, "doc_id", "tokens", 2048)
 
 
+def p8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Of each document, whether its containers hold no more than they may, and its parts all of its tokens."""
+    counts = cut(bpe.token_counts(table(spark, d, "documents"), "doc_id"), "counts")
+    packed = cut(packing.pack(counts, "doc_id", "tokens", 2048), "packed")
+    fill = packed.groupBy("container").agg((F.sum("tokens") <= 2048).alias("fits"))
+    told = packed.join(fill, "container").groupBy("doc_id").agg(F.min("fits").alias("fits"), F.sum("tokens").alias("n"))
+    return counts.join(told, "doc_id", "left").select("doc_id", "fits", F.col("n").eqNullSafe(F.col("tokens")).alias("whole"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_subjects(spark, d).select("doc_id", "subject").distinct()
 
@@ -63,9 +90,14 @@ def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
     return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p3_found, p3_split, p4_found, p5_found, p5_redacted, p7_ids, p8_containers, p9_found, p9_subjects)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p2_limits, p3_found, p3_split, p3_whole, p4_found, p5_found, p5_redacted, p5_lines, p7_ids, p8_containers, p8_whole, p9_found, p9_subjects)}
+
+_LINES = r"len(regexp_extract_all(content, '\r\n|\r|\n')) + CASE WHEN content = '' OR content[-1] IN (chr(10), chr(13)) THEN 0 ELSE 1 END"
 
 SQL: dict[str, str] = {
+    "p2_limits": f"SELECT id, true AS within, min(coalesce(start_line, 1)) AS first_line, max(coalesce(start_line, 1) + n - 1)::INT AS last_line FROM (SELECT *, {_LINES} AS n FROM chunks) WHERE n > 160 OR length(content) > 8000 GROUP BY id",
+    "p5_lines": f"SELECT repo, path, commit_hash, {_LINES} AS lines, len(commit_messages) AS messages FROM source_files",
+    "p8_whole": "SELECT doc_id, true AS fits, true AS whole FROM documents",
     "p2_found": r"""
 SELECT DISTINCT id FROM (
   SELECT id, content, len(regexp_extract_all(content, '\r\n|\r|\n')) + CASE WHEN content = '' OR content[-1] IN (chr(10), chr(13)) THEN 0 ELSE 1 END AS lines FROM chunks)
@@ -95,3 +127,4 @@ cc(id, group_id) USING KEY (id) AS (
   SELECT n.id, min(l.group_id) FROM cc l JOIN edges e ON l.id = e.a JOIN recurring.cc n ON n.id = e.b WHERE l.group_id < n.group_id GROUP BY n.id)
 SELECT id, group_id FROM cc""",
 }
+SQL["p3_whole"] = SQL["p3_found"].replace("SELECT file_key, min(file_key) OVER (PARTITION BY repo, dir) AS group_key FROM modules", "SELECT min(file_key) AS group_key, 1::BIGINT AS splits FROM modules GROUP BY repo, dir")
