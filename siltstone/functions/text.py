@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,41 @@ WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 
 
+#: What a class of Python's `re` holds, as the inside of a class of another engine.
+SPACE, DIGIT, WORD = r"\s\x0b\x1c-\x1f\x85\p{Z}", r"\p{Nd}", r"\p{L}\p{N}_"
+
+
+def respell(pattern: str, border: str | None = None, hexadecimal: str = "\\x{:02x}") -> str:
+    """A pattern of Python's `re` for an engine whose classes know ASCII only.
+
+    `\\s`, `\\d`, `\\w` and their opposites become what they are in Python; `\\b` becomes `border`, or stays. `hexadecimal` is how the engine
+    writes a character by its number.
+    """
+    space = re.sub(r"\\x([0-9a-f]{2})", lambda m: hexadecimal.format(int(m[1], 16)), SPACE)
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        one = pattern[at : at + 2] if pattern[at] == "\\" else pattern[at]
+        at += len(one)
+        if one == "[" and not inside:
+            inside = True
+        elif one == "]" and inside:
+            inside = False
+        elif one in (r"\s", r"\d", r"\w"):
+            held = {"s": space, "d": DIGIT, "w": WORD}[one[1]]
+            one = held if inside else f"[{held}]"
+        elif one in (r"\S", r"\W"):
+            one = f"[^{space if one[1] == 'S' else WORD}]"
+        elif one == r"\b" and border is not None:
+            one = border
+        out.append(one)
+    return "".join(out)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once a row, however often `body` uses it, in lambdas too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Lower-case word tokens; camelCase words are taken apart, digits stay with their word."""
     apart = F.regexp_replace(text, "([a-z])([A-Z])", "$1 $2")
@@ -95,8 +133,7 @@ def parent(path: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """The lines of a text, without their ends; an end at the very end begins no line, and no text has no lines."""
-    parts = F.split(text, LINE_END)
-    trimmed = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    trimmed = let(F.split(text, LINE_END), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
     return F.when(text == "", F.array().cast("array<string>")).otherwise(trimmed)
 
 
@@ -107,12 +144,7 @@ def line_slice(text: Column, first: Column, last: Column) -> Column:
 
 def similarity_text(instruction: Column, premise: Column, mark: str) -> Column:
     """What of an instruction stands before `mark`, and the premise: the text two records are compared by."""
-    return F.concat(F.element_at(F.split(instruction, mark), 1), F.lit(" "), premise)
-
-
-def canonical_json(*columns: str) -> Column:
-    """Digest of the columns as JSON in the order of their names."""
-    return digest(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
+    return F.concat(F.split_part(instruction, F.lit(mark), F.lit(1)), F.lit(" "), premise)
 
 
 def page_title(url: Column) -> Column:
@@ -120,11 +152,6 @@ def page_title(url: Column) -> Column:
     return F.translate(F.url_decode(F.regexp_extract(F.parse_url(url, F.lit("PATH")), "^/wiki/(.+)$", 1)), "_", " ")
 
 
-def page_address(host: str, title: Column) -> Column:
-    """The address of an article."""
-    return F.concat(F.lit(f"https://{host}/wiki/"), F.replace(F.url_encode(F.translate(title, " ", "_")), F.lit("+"), F.lit("%20")))
-
-
 def collapse_ends(text: Column) -> Column:
     """Without white space at the ends."""
     return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")

@@ -18,7 +18,7 @@ BOUNDARIES: dict[str, str] = {
     "markdown": r"^#{1,6}\s+",
     "sql": r"(?i)^\s*(CREATE|ALTER|COMMENT|BEGIN|COMMIT)(\W|$)",
     "protobuf": r"^\s*(message|service|enum|rpc|package|import)(\W|$)",
-    "yaml": r"^(---|[A-Za-z_][A-Za-z0-9_.-]*\s*:)",
+    "yaml": r"^(---|[A-Za-z_][\w.-]*\s*:)",
     "json": r'^\s{0,2}"[^"\n]+"\s*:',
     "shell": r"^(function\s+\w+|\w+\s*\(\s*\))",
 }
@@ -29,7 +29,7 @@ def begins_section(line: Column, language: Column) -> Column:
     """Whether a line begins a section in a language."""
     out = F.regexp_like(line, F.lit(OTHER))
     for name, pattern in BOUNDARIES.items():
-        out = F.when(language == name, F.regexp_like(line, F.lit(pattern))).otherwise(out)
+        out = F.when(language == name, F.regexp_like(line, F.lit("(?u)" + tx.respell(pattern)))).otherwise(out)
     return out
 
 
@@ -37,22 +37,31 @@ def sections(files: DataFrame, key: list[str], content: str, language: str, wind
     """(key, start_line, end_line, symbol, symbol_type, content): files cut at their languages' boundaries.
 
     A section longer than `window` lines becomes several chunks of the same symbol. Chunks of blank lines are left out.
-    All is done within the row, by array functions: no line leaves its file, so nothing is shuffled, and a file of any
-    length is one row. Null contents have no chunks.
+    All is done within the row, by array functions: no line leaves its file, so nothing is shuffled. A file is taken
+    apart once, and each of its lines is looked at and put together once, so the time is in proportion to its length.
+    Null contents have no chunks.
     """
-    base = files.select(*key, tx.lines(F.col(content)).alias("ls"), F.col(language).alias("lang")).filter("size(ls) > 0")
-    number = F.sequence(F.lit(0), F.size("ls") - 1)
-    starts = F.filter(number, lambda i: (i == 0) | begins_section(F.get("ls", i), F.col("lang")))
-    base = base.withColumn("starts", starts)
-    # each section, from its start to before the next one's
-    each = base.select("*", F.posexplode("starts").alias("n", "begin")).withColumn("stop", F.coalesce(F.get("starts", F.col("n") + 1), F.size("ls")))
-    cuts = F.sequence(F.col("begin"), F.col("stop") - 1, F.lit(window))
-    pieces = each.select("*", F.explode(cuts).alias("lo")).withColumn("hi", F.least(F.col("lo") + window, F.col("stop")))
-    part = F.slice("ls", F.col("lo") + 1, F.col("hi") - F.col("lo"))
-    label = F.substring(tx.collapse_ends(F.get("ls", F.col("begin"))), 1, 100)
-    symbol = F.when(label == "", F.concat(F.lit("section-"), F.col("begin") + 1)).otherwise(label)
-    out = pieces.select(*key, (F.col("lo") + 1).alias("start_line"), F.col("hi").alias("end_line"), symbol.alias("symbol"), F.lit("section").alias("symbol_type"), F.array_join(part, "\n").alias("content"))
-    return out.filter(tx.collapse(F.col("content")) != "")
+    shape = "array<struct<start_line:int,end_line:int,symbol:string,content:string>>"
+
+    def cut_lines(ls: Column) -> Column:
+        marks = F.transform(ls, lambda line, i: F.when((i == 0) | begins_section(line, F.col(language)), i))
+        return tx.let(F.array_compact(marks), lambda starts: pieces(ls, starts))
+
+    def pieces(ls: Column, starts: Column) -> Column:
+        stop = lambda i: F.coalesce(F.get(starts, i + 1), F.size(ls))
+        spans = F.transform(starts, lambda at, i: F.transform(F.sequence(at, stop(i) - 1, F.lit(window)), lambda lo: F.struct(at.alias("head"), lo.alias("lo"), F.least(lo + window, stop(i)).alias("hi"))))
+        return F.transform(F.flatten(spans), lambda s: piece(ls, s))
+
+    def piece(ls: Column, s: Column) -> Column:
+        label = F.substring(tx.collapse_ends(F.get(ls, s["head"])), 1, 100)
+        symbol = F.when(label == "", F.concat(F.lit("section-"), s["head"] + 1)).otherwise(label)
+        body = F.array_join(F.slice(ls, s["lo"] + 1, s["hi"] - s["lo"]), "\n")
+        return F.struct((s["lo"] + 1).alias("start_line"), s["hi"].alias("end_line"), symbol.alias("symbol"), body.alias("content"))
+
+    found = F.when(F.length(content) > 0, tx.let(tx.lines(F.col(content)), cut_lines)).cast(shape)
+    # outer: an inner explode would have the optimiser evaluate the whole array once more, as a filter
+    rows = files.select(*key, F.explode_outer(found).alias("c")).filter("c is not null")
+    return rows.select(*key, "c.start_line", "c.end_line", "c.symbol", F.lit("section").alias("symbol_type"), "c.content").filter(F.regexp_like("content", F.lit(rf"[^{tx.WS[1:]}")))
 
 
 def chunk_id(repo: str, path: str, start_line: str, symbol: str) -> Column:

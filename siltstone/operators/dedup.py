@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions.text import digest, fingerprint
+from siltstone.operators.components import components
 from siltstone.runtime import cut, drop
 
-MAX_ROUNDS = 200
+#: Links of a component that one task goes through in order; larger components are decided in rounds.
+FOLD_LINKS = 200_000
 COSINE_DIGITS = 4
+#: Parts that a vector's terms are hashed into for a bound of its products.
+PARTS = 16
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -22,43 +27,71 @@ def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def exact(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     """The first row of each text, whatever its white space; rows with a null text all stay.
 
-    The first row is chosen over fingerprints and order columns alone, then joined with the rest: texts are not sorted.
+    Every task keeps the first row of each text it has before anything is shuffled, so a text of a third of all rows
+    moves one row a task.
     """
-    marked = df.withColumn("_fp", F.coalesce(fingerprint(F.col(text)), F.concat(F.lit("null:"), F.uuid())))
-    return first_by(marked, ["_fp"], order).drop("_fp")
+    some = df.filter(F.col(text).isNotNull()).withColumn("_fp", fingerprint(F.col(text)))
+    return first_by(some, ["_fp"], order).drop("_fp").unionByName(df.filter(F.col(text).isNull()))
 
 
 def greedy(rows: DataFrame, key: str, order: list[str], links: DataFrame) -> DataFrame:
     """(key, kept, duplicate_of): rows in `order`, each kept unless a kept one before it is linked to it.
 
     `links` has (a, b, similarity) in either direction. `duplicate_of` is the first such row. The result is that of a
-    loop over the rows, reached in rounds: a row is kept once all its earlier neighbours have fallen, and falls once one
-    of them is kept. All rows that can be decided are decided in a round, so the rounds are as many as the longest chain
-    of decisions that hang on each other, which is short where groups are dense.
+    loop over the rows. Rows of different components of the links do not touch each other: a component of up to
+    FOLD_LINKS links is gone through in order by one task, long chains too. A larger one is decided in rounds: a row is
+    kept once all its earlier neighbours have fallen, and falls once one of them is kept; the rounds are as many as the
+    longest chain of decisions that hang on each other, which is short where so many links are dense, and they go on
+    until all is decided.
     """
     place = rows.select(F.col(key).alias("k"), F.struct(*[c for c in order if c != key], key).alias("o"))
     both = links.select(F.col("a").alias("k"), F.col("b").alias("j")).unionByName(links.select(F.col("b").alias("k"), F.col("a").alias("j"))).filter("k <> j").distinct()
-    earlier = both.join(place, "k").join(place.select(F.col("k").alias("j"), F.col("o").alias("p")), "j").filter("p < o").select("k", "j", "p")
+    earlier = both.join(place, "k").join(place.select(F.col("k").alias("j"), F.col("o").alias("p")), "j").filter("p < o").select("k", "j", "o", "p")
     earlier = cut(earlier, "earlier")
-    decided: DataFrame | None = None
+    roots = components(earlier, "k", "j").withColumnRenamed("vertex", "k")
+    marked = cut(earlier.join(roots, "k"), "earlier")
+    large = cut(marked.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > FOLD_LINKS).select("root"), "large")
+    fallen = _fold(marked.join(large, "root", "left_anti"))
+    if not large.isEmpty():
+        fallen = fallen.unionByName(_rounds(marked.join(large, "root", "left_semi")))
+    return place.select("k").join(fallen, "k", "left").select(F.col("k").alias(key), F.col("duplicate_of").isNull().alias("kept"), "duplicate_of")
+
+
+def _fold(earlier: DataFrame) -> DataFrame:
+    """(k, duplicate_of) of the rows that fall, by going through each component (root) in order."""
+    kind = earlier.schema["k"].dataType.simpleString()
+    # a row's place among those of its component: numbers, since the order's structs have any columns
+    ends = earlier.select("root", "k", "o").unionByName(earlier.select("root", F.col("j").alias("k"), F.col("p").alias("o"))).distinct()
+    number = ends.select("root", "k", (F.row_number().over(Window.partitionBy("root").orderBy("o")) - 1).alias("x"))
+    rows = earlier.join(number, ["root", "k"]).join(number.select("root", F.col("k").alias("j"), F.col("x").alias("y")), ["root", "j"])
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["x", "y"])
+        fell, out = set(), []
+        for k, j, x, y in zip(group["k"], group["j"], group["x"], group["y"]):
+            # all earlier rows are decided, and the first kept neighbour counts
+            if x not in fell and y not in fell:
+                fell.add(x)
+                out.append((k, j))
+        return pd.DataFrame(out, columns=["k", "duplicate_of"])
+
+    return rows.select("root", "k", "j", "x", "y").groupBy("root").applyInPandas(walk, f"k {kind}, duplicate_of {kind}")
+
+
+def _rounds(earlier: DataFrame) -> DataFrame:
+    """(k, duplicate_of) of the rows that fall, by deciding in each round whatever can be decided."""
+    ends = earlier.select("k").unionByName(earlier.select(F.col("j").alias("k"))).distinct()
     # rows without earlier neighbours are kept at once
-    kept = cut(place.select("k").join(earlier.select("k").distinct(), "k", "left_anti"), "kept")
-    pending = cut(earlier, "pending")
-    for _ in range(MAX_ROUNDS):
-        if pending.isEmpty():
-            break
+    kept = cut(ends.join(earlier.select("k").distinct(), "k", "left_anti"), "kept")
+    pending = cut(earlier.select("k", "j"), "pending")
+    while not pending.isEmpty():
         fell = cut(pending.join(kept.select(F.col("k").alias("j")), "j").select("k").distinct(), "fell")
-        left = pending.join(fell, "k", "left_anti").join(fell.select(F.col("k").alias("j")), "j", "left_anti")
-        left = cut(left, "pending")
+        left = cut(pending.join(fell, "k", "left_anti").join(fell.select(F.col("k").alias("j")), "j", "left_anti"), "pending")
         fresh = pending.select("k").distinct().join(fell, "k", "left_anti").join(left.select("k").distinct(), "k", "left_anti")
         kept_now = cut(kept.unionByName(fresh), "kept")
-        decided = fell if decided is None else decided.unionByName(fell)
-        drop(pending)
+        drop(pending, kept, fell)
         kept, pending = kept_now, left
-    else:
-        raise RuntimeError(f"no end after {MAX_ROUNDS} rounds")
-    cause = earlier.join(kept.select(F.col("k").alias("j")), "j").groupBy("k").agg(F.min_by("j", "p").alias("duplicate_of"))
-    return place.select("k").join(cause, "k", "left").select(F.col("k").alias(key), F.col("duplicate_of").isNull().alias("kept"), "duplicate_of")
+    return earlier.join(kept.select(F.col("k").alias("j")), "j").groupBy("k").agg(F.min_by("j", "p").alias("duplicate_of"))
 
 
 def equal_texts(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -74,7 +107,9 @@ def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     Exact, without comparing all pairs: terms are put in the order of how many vectors have them, rarest first, and of
     each unit vector only the terms are indexed before the rest of it is shorter than the least cosine that rounds to
     `least`. Two vectors that share no indexed term share terms only in the rest of one of them, and their product is
-    then below that.
+    then below that. Two that share one are a candidate only if the product of their lengths in each of PARTS parts
+    of the terms, summed, comes to as much: no product exceeds that. The bound is computed where the pair is made, from
+    the index alone, so that what fails it is never moved.
     """
     norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
     unit = cut(vectors.select(F.col(key).alias("k"), "term", (F.col("value") / norm).cast("double").alias("x")).filter("x <> 0"), "vectors")
@@ -82,10 +117,16 @@ def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     rare_first = Window.partitionBy("k").orderBy("df", "term")
     rest = F.sum(F.col("x") * F.col("x")).over(rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     lowest = max(0.0, least - 0.5 * 10**-COSINE_DIGITS)
+    part = F.pmod(F.xxhash64("term"), F.lit(PARTS))
+    lengths = unit.groupBy("k").agg(*[F.sqrt(F.sum(F.when(part == i, F.col("x") * F.col("x")).otherwise(0.0))).alias(f"l{i}") for i in range(PARTS)])
     # terms that only one vector has join with nothing
     indexed = unit.join(df, "term").withColumn("rest", rest).filter((F.col("rest") >= lowest * lowest - 1e-9) & (F.col("df") > 1)).select("k", "term")
-    pairs = indexed.join(indexed.select(F.col("k").alias("j"), "term"), "term").filter("k < j").select("k", "j").distinct()
-    pairs = cut(pairs, "pairs")
+    indexed = cut(indexed.join(lengths, "k"), "indexed")
+    other = indexed.select(F.col("k").alias("j"), "term", *[F.col(f"l{i}").alias(f"m{i}") for i in range(PARTS)])
+    bound = F.lit(0.0)
+    for i in range(PARTS):
+        bound = bound + F.col(f"l{i}") * F.col(f"m{i}")
+    pairs = cut(indexed.join(other, "term").filter((F.col("k") < F.col("j")) & (bound >= lowest - 1e-9)).select("k", "j").distinct(), "pairs")
     both = pairs.join(unit, "k").join(unit.select(F.col("k").alias("j"), "term", F.col("x").alias("y")), ["j", "term"])
     dot = F.round(F.sum(F.col("x") * F.col("y")), COSINE_DIGITS)
     return both.groupBy(F.col("k").alias("a"), F.col("j").alias("b")).agg(dot.alias("similarity")).filter(F.col("similarity") >= least)

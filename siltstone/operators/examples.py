@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from siltstone.functions import screening
@@ -16,6 +20,8 @@ CONCURRENT = ["go_statement", "select_statement", "send_statement", "receive_sta
 TRANSACTIONAL = ["Begin", "BeginTx", "Commit", "Rollback", "Transaction", "WithTransaction"]
 FAILING = ["fmt.Errorf", "errors.New", "errors.Wrap", "errors.Is", "errors.As"]
 MOST_CHARACTERS, FEWEST_LINES, FEWEST_CALLS, CALLS_PERCENT = 9000, 3, 3, 30
+#: Characters of an answer that may be reviewed, and what is said in place of an unsafe one.
+FEWEST_ANSWER, REFUSAL = 80, "The answer is withheld: it holds what looks like a secret."
 
 
 def reference() -> Column:
@@ -57,10 +63,10 @@ def examples(chunks: DataFrame) -> DataFrame:
             evidence("errors", F.filter(calls, lambda c: c.isin(FAILING))),
         )
     )
-    # which examples there are is known before any of their texts is screened
-    rows = eligible(chunks).withColumn("reference", reference()).filter("reference is not null").select("id", "reference", F.explode(made).alias("e"))
-    rows = rows.select("id", "e.task", "reference", "e.messages")
-    return rows.filter(screening.safe(F.col("messages")[0]["content"]) & screening.safe(F.col("messages")[1]["content"]))
+    # the source stands in every prompt: it is screened once, before there are prompts, and only answers by themselves
+    fit = eligible(chunks).withColumn("reference", reference()).filter("reference is not null").filter(screening.safe(F.concat(F.col("reference"), F.lit(":\n"), F.col("content"))))
+    rows = fit.select("id", "reference", F.explode_outer(made).alias("e")).filter("e is not null").select("id", "e.task", "reference", "e.messages")
+    return rows.filter(screening.safe(F.col("messages")[1]["content"]))
 
 
 def valid_messages(messages: Column) -> Column:
@@ -130,3 +136,66 @@ def per_file_questions(chunks: DataFrame, limit: int = 30) -> DataFrame:
     fit = chunks.filter(F.col("symbol_type").isin(KINDS) & F.col("symbol").isNotNull())
     first = fit.groupBy("file_key").agg(F.min(F.struct("start_line", "id", "symbol")).alias("c"))
     return first.orderBy("file_key").limit(limit).select("file_key", "c.id", F.concat(F.lit("Where is "), "c.symbol", F.lit(" declared?")).alias("question"))
+
+
+def teacher_answers(candidates: DataFrame) -> DataFrame:
+    """The rows (.., reference, answer) whose answer may be reviewed: long enough, citing its source, and safe."""
+    answer = tx.collapse_ends(F.coalesce("answer", F.lit("")))
+    return candidates.filter((F.length(answer) >= FEWEST_ANSWER) & F.contains(answer, F.col("reference")) & screening.safe(answer)).withColumn("answer", answer)
+
+
+def ask_teacher(prompts: DataFrame, model: Callable[[list[str]], list[str]]) -> DataFrame:
+    """`prompts` (.., prompt, reference) with the `answer` of a model, as far as it may be reviewed.
+
+    `model` is any function of a list of prompts, called where the rows are, in batches; nothing here opens connections.
+    """
+    schema = T.StructType([*prompts.schema.fields, T.StructField("answer", T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(answer=model(batch["prompt"].tolist()))
+
+    return teacher_answers(prompts.mapInPandas(run, schema))
+
+
+def check_training_data(rows: DataFrame) -> int:
+    """How many rows (messages) a training gets; raises where there are none, or one that no training should see.
+
+    Each has two messages at least, none blank, the last of them the assistant's, and is safe.
+    """
+    m = F.col("messages")
+    told = ~F.exists(m, lambda x: x["content"].isNull() | (tx.collapse(x["content"]) == ""))
+    good = F.coalesce((F.size(m) >= 2) & (F.element_at(m, -1)["role"] == "assistant") & told & screening.safe(F.array_join(F.transform(m, lambda x: x["content"]), "\n")), F.lit(False))
+    counts = rows.agg(F.count("*").alias("n"), F.count_if(~good).alias("bad")).first()
+    if not counts["n"] or counts["bad"]:
+        raise ValueError(f"{counts['bad']} of {counts['n']} rows cannot be trained on")
+    return counts["n"]
+
+
+def fit_length(rows: DataFrame, most_tokens: int, without: DataFrame | None = None) -> DataFrame:
+    """Rows (messages) of at most `most_tokens` estimated tokens, with `answer_at`, where the last message begins.
+
+    What stands before `answer_at` is not learned. Rows whose messages are those of `without` are left out.
+    """
+    sizes = F.transform("messages", lambda m: tx.piece_count(m["content"]))
+    pieces = F.aggregate(sizes, F.lit(0), lambda a, n: a + n)
+    head = F.aggregate(F.slice(sizes, 1, F.size("messages") - 1), F.lit(0), lambda a, n: a + n)
+    out = rows.withColumn("tokens", F.greatest(F.lit(1), F.floor(pieces * 4 / 3).cast("int"))).withColumn("answer_at", F.floor(head * 4 / 3).cast("int")).filter(F.col("tokens") <= most_tokens)
+    if without is None:
+        return out
+    known = without.select(messages_digest(F.col("messages")).alias("_fp")).distinct()
+    return out.withColumn("_fp", messages_digest(F.col("messages"))).join(known, "_fp", "left_anti").drop("_fp")
+
+
+def pack_answer_context(hits: DataFrame, budget: int) -> DataFrame:
+    """(query_id, context_ids, used): of each query's hits (query_id, rank, id, content) whole chunks in order of rank,
+    as far as they fit into `budget` estimated tokens; one that does not fit is passed over. Hits are few by nature."""
+    listed = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id", tx.estimated_tokens(F.col("content")).alias("n")))).alias("list"))
+    zero = F.struct(F.lit(0).alias("used"), F.array().cast("array<string>").alias("ids"))
+    step = lambda s, x: F.when(s["used"] + x["n"] <= budget, F.struct((s["used"] + x["n"]).alias("used"), F.concat(s["ids"], F.array(x["id"].cast("string"))).alias("ids"))).otherwise(s)
+    return listed.select("query_id", F.aggregate("list", zero, step).alias("s")).select("query_id", F.col("s.ids").alias("context_ids"), F.col("s.used").alias("used"))
+
+
+def screened_answers(answers: DataFrame, column: str = "answer") -> DataFrame:
+    """Answers with a refusal in place of what is unsafe."""
+    return answers.withColumn(column, F.when(screening.safe(F.col(column)), F.col(column)).otherwise(F.when(F.col(column).isNotNull(), F.lit(REFUSAL))))

@@ -244,6 +244,10 @@ def _named(code: list[Token], text: str) -> tuple[str, str]:
     return kind, ", ".join(names) or word
 
 
+#: What is told of a declaration.
+FACTS = "struct<package:string,imports:array<string>,calls:array<string>,constructs:array<string>,doc:string>"
+
+
 def go_chunks(files: DataFrame, key: list[str], content: str, on_error: str = "raise") -> DataFrame:
     """(key, start_line, end_line, symbol, symbol_type, content, facts): the declarations of Go files.
 
@@ -254,7 +258,7 @@ def go_chunks(files: DataFrame, key: list[str], content: str, on_error: str = "r
         raise ValueError("on_error must be raise, skip or report")
     ship(files.sparkSession)
     kinds = ", ".join(f"{files.schema[k].name} {files.schema[k].dataType.simpleString()}" for k in key)
-    schema = f"{kinds}, start_line int, end_line int, symbol string, symbol_type string, content string, facts struct<package:string,imports:array<string>,calls:array<string>,constructs:array<string>,doc:string>"
+    schema = f"{kinds}, start_line int, end_line int, symbol string, symbol_type string, content string, facts {FACTS}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

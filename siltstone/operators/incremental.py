@@ -9,14 +9,12 @@ step, so that a failed run leaves nothing that the next one would count as done.
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.runtime import cut, replace_file
+from siltstone.runtime import Versions, cut, drop
 
 #: Children of an inner node as bits, and records that a leaf is expected to hold.
 FAN_BITS, LEAF_RECORDS = 4, 16
@@ -65,16 +63,18 @@ def differing_leaves(now: DataFrame, saved: DataFrame, levels: int) -> DataFrame
     return open_nodes
 
 
-def changed_records(current: DataFrame, saved: DataFrame, key: str, described: list[str], levels: int | None = None, saved_tree: DataFrame | None = None) -> DataFrame:
+def changed_records(current: DataFrame, saved: DataFrame, key: str, described: list[str], levels: int | None = None, saved_tree: DataFrame | None = None, current_tree: DataFrame | None = None) -> DataFrame:
     """Rows (key, now, was) of the leaves that differ: structs of `described`, null where the side has no such key.
 
-    Not every row has changed: it only shares a leaf with one that has. Rows with a null key are left out.
+    Not every row has changed: it only shares a leaf with one that has. Rows with a null key are left out. A side whose
+    tree is given is read in the leaves that differ only; of another, the tree is made from all its rows first.
     """
     current = current.select(key, *described).filter(F.col(key).isNotNull())
     saved = saved.select(key, *described).filter(F.col(key).isNotNull())
     if levels is None:
         levels = levels_for(current.count())
-    leaves = differing_leaves(tree(current, key, described, levels), tree(saved, key, described, levels) if saved_tree is None else saved_tree, levels)
+    made = [tree(side, key, described, levels) if given is None else given for side, given in ((current, current_tree), (saved, saved_tree))]
+    leaves = differing_leaves(*made, levels)
     take = lambda side, name: side.withColumn("node", leaf_of(F.col(key), levels)).join(leaves, "node", "left_semi").select(key, F.struct(*described).alias(name))
     return take(current, "now").join(take(saved, "was"), key, "full_outer")
 
@@ -132,47 +132,29 @@ def file_changes(source_files: DataFrame, files: DataFrame, runs: DataFrame) ->
 # --- a store whose versions appear whole or not at all ---------------------------------------------------------------
 
 
-class Store:
-    """Versions of output, state and tree under `folder`; the one that counts is named by the file CURRENT.
+class Store(Versions):
+    """Output, state and tree under `folder`, in versions that appear whole or not at all.
 
-    A version is written to a folder of its own name first and counts only once CURRENT is replaced by a rename. A run
-    that dies before that leaves a folder nobody reads, and the next run sees the same changes again: none is skipped
-    and none counts twice. CURRENT is replaced only if it still names the version the run began from.
+    A run that dies before it publishes leaves a folder nobody reads, and the next run sees the same changes again: none
+    is skipped and none counts twice. Of two runs that began from one version, the second to publish fails.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        self._path = lambda name: path(f"{self.folder}/{name}")
-        self._fs = path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def current(self) -> dict | None:
-        """{"version", "levels"} of the version that counts, or None before the first."""
-        if not self._fs.exists(self._path("CURRENT")):
-            return None
-        return json.loads(self.spark.read.text(f"{self.folder}/CURRENT").first()["value"])
-
-    def read(self, part: str) -> DataFrame:
-        """The `output`, `state` or `tree` of the version that counts."""
-        return self.spark.read.parquet(f"{self.folder}/{self.current()['version']}/{part}")
-
     def run(self, current: DataFrame, key: str, described: list[str], process: Callable[[DataFrame], DataFrame]) -> str:
         """Process what differs from the saved state and publish it; gives the new version's name.
 
-        `process` gets (key, change_kind) with `added`, `changed` or `removed` and gives the output to keep.
+        `process` gets (key, change_kind) with `added`, `changed` or `removed` and gives the output to keep. The tree
+        has levels for the records there are now: when they have become so many that another level is due, the saved
+        side's tree is made once more from its state, and saved with that level from then on.
         """
         began = self.current()
         now = cut(current.select(key, *described).filter(F.col(key).isNotNull()), "now")
-        levels = began["levels"] if began else levels_for(now.count())
+        levels = levels_for(now.count())
         made = cut(tree(now, key, described, levels), "tree")
         saved = self.read("state") if began else now.limit(0)
-        rows = changed_records(now, saved, key, described, levels, self.read("tree") if began else made.limit(0))
+        kept = made.limit(0) if not began else self.read("tree") if began["levels"] == levels else None
+        rows = changed_records(now, saved, key, described, levels, kept, made)
         kind = F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed").when(~F.col("now").eqNullSafe(F.col("was")), "changed")
         changes = cut(rows.select(key, kind.alias("change_kind")).filter("change_kind is not null"), "changes")
-        version = f"v-{uuid.uuid4().hex}"
-        for part, df in (("output", process(changes)), ("state", now), ("tree", made)):
-            df.write.parquet(f"{self.folder}/{version}/{part}")
-        if self.current() != began:
-            raise RuntimeError("another run has published since this one began")
-        replace_file(self.spark, f"{self.folder}/CURRENT", json.dumps({"version": version, "levels": levels}))
-        return version
+        told = self.publish(began, {"output": process(changes), "state": now, "tree": made}, {"levels": levels})
+        drop(now, made, changes)
+        return told["version"]

@@ -7,6 +7,8 @@ descending, id ascending) of scores rounded to SCORE_DIGITS, so that they do not
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,7 +61,7 @@ def searchable(chunks: DataFrame) -> DataFrame:
 
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(term, key, tf): how often each term stands in each document."""
-    return docs.select(key, F.explode(tx.tokens(F.col(text))).alias("term")).groupBy("term", key).agg(F.count("*").alias("tf"))
+    return docs.select(key, F.explode_outer(tx.tokens(F.col(text))).alias("term")).filter("term is not null").groupBy("term", key).agg(F.count("*").alias("tf"))
 
 
 def tf_idf(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -85,11 +87,21 @@ def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, weight: Colum
     """
     tokens = tx.tokens(F.col(text))
     sized = docs.select("*", F.size(tokens).alias("dl"), tokens.alias("tokens"))
-    stats = sized.agg(F.count("*").alias("n_docs"), F.coalesce(F.nullif(F.avg("dl"), F.lit(0.0)), F.lit(1.0)).alias("avg_dl"))
     terms = query_terms(queries)
-    asked = terms.select("term").distinct()
     # the posting side is cut by a semi join before it is counted; the planner broadcasts the terms where they are few
-    hits = sized.select(key, "dl", F.explode("tokens").alias("term")).join(asked, "term", "left_semi").groupBy("term", key, "dl").agg(F.count("*").alias("tf"))
+    hits = sized.select(key, "dl", F.explode_outer("tokens").alias("term")).join(terms.select("term").distinct(), "term", "left_semi").groupBy("term", key, "dl").agg(F.count("*").alias("tf"))
+    return _scores(hits, sized, key, docs, terms, queries, weight)
+
+
+def bm25_of(kept: DataFrame, docs: DataFrame, key: str, queries: DataFrame, weight: Column | None = None) -> DataFrame:
+    """`bm25` from postings (term, key, tf) that are kept, and `docs` with the length `dl` of each: no text is read."""
+    terms = query_terms(queries)
+    hits = kept.join(terms.select("term").distinct(), "term", "left_semi").join(docs.select(key, "dl"), key)
+    return _scores(hits, docs, key, docs, terms, queries, weight)
+
+
+def _scores(hits: DataFrame, sized: DataFrame, key: str, docs: DataFrame, terms: DataFrame, queries: DataFrame, weight: Column | None) -> DataFrame:
+    stats = sized.agg(F.count("*").alias("n_docs"), F.coalesce(F.nullif(F.avg("dl"), F.lit(0.0)), F.lit(1.0)).alias("avg_dl"))
     df = hits.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * F.col("dl") / F.col("avg_dl")))
@@ -114,7 +126,12 @@ def hashed_vectors(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     Terms are counted by document first, and each distinct term is hashed once a document.
     """
-    counts = postings(docs, key, text).select(key, bucket_and_sign(F.col("term")).alias("b"), "tf")
+    return hashed_of(postings(docs, key, text), key)
+
+
+def hashed_of(kept: DataFrame, key: str) -> DataFrame:
+    """`hashed_vectors` from postings (term, key, tf)."""
+    counts = kept.select(key, bucket_and_sign(F.col("term")).alias("b"), "tf")
     buckets = counts.groupBy(key, F.col("b.bucket").alias("bucket")).agg(F.sum(F.col("b.sign") * F.col("tf")).cast("double").alias("v"))
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(key)))
     return buckets.select(key, "bucket", (F.col("v") / F.greatest(norm, F.lit(1e-12))).alias("value"))
@@ -127,53 +144,58 @@ def sparse_cosine(vectors: DataFrame, key: str, asked: DataFrame) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
-    """(query_id, key, score): `sparse_cosine` of hashed vectors for many queries, of each at least the best `k`.
+    """(query_id, key, score): `sparse_cosine` of hashed vectors for many queries, of each at least the best `k`."""
+    packed = lambda df, id_: df.groupBy(id_).agg(F.collect_list("bucket").alias("b"), F.collect_list("value").alias("v"))
+
+    def matrix(rows: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS))
+        out[np.repeat(np.arange(len(rows)), rows["b"].map(len)), np.concatenate(rows["b"].tolist())] = np.concatenate(rows["v"].tolist())
+        return out
+
+    return _in_blocks(packed(vectors, key), key, packed(asked, "query_id"), k, matrix, True)
+
+
+def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, key, score): cosines of vectors with query vectors, of each query at least the best `k`.
+
+    Vectors that are null or have no length take no part; all others must have as many numbers as each other.
+    """
+    def matrix(rows: pd.DataFrame) -> np.ndarray:
+        out = np.array(rows["v"].tolist(), np.float64)
+        return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+    some = lambda df, id_, v: df.select(id_, F.col(v).alias("v")).filter(F.col("v").isNotNull() & F.exists("v", lambda x: x != 0))
+    return _in_blocks(some(vectors, key, vector), key, some(asked, "query_id", "vector"), k, matrix, False)
+
+
+def _in_blocks(docs: DataFrame, key: str, sought: DataFrame, k: int, matrix: Callable[[pd.DataFrame], np.ndarray], positive: bool) -> DataFrame:
+    """(query_id, key, score) of the products of all rows' vectors, of each query at least the best `k` in a block.
 
     Queries and documents are laid in blocks, and each pair of blocks is one product of matrices, of which each query
     keeps its best `k` and what ties with the last of them; `top` then has all it needs. The blocks' numbers follow from
     counts, so that no block grows with the tables.
     """
-    packed = lambda df, id_: df.groupBy(id_).agg(F.collect_list("bucket").alias("b"), F.collect_list("value").alias("v"))
-    docs, sought = cut(packed(vectors, key), "packed"), cut(packed(asked, "query_id"), "asked")
+    docs, sought = cut(docs, "packed"), cut(sought, "asked")
     across, down = (-(-df.count() // n) or 1 for df, n in ((docs, DOCUMENT_BLOCK), (sought, QUERY_BLOCK)))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = sought.select("*", block("query_id", down).alias("y"), numbers(across).alias("x"))
     right = docs.select("*", block(key, across).alias("x"), numbers(down).alias("y"))
 
-    def matrix(rows: pd.DataFrame) -> np.ndarray:
-        out = np.zeros((len(rows), BUCKETS))
-        out[np.repeat(np.arange(len(rows)), rows["b"].map(len)), np.concatenate(rows["b"].tolist())] = np.concatenate(rows["v"].tolist())
-        return out
-
     def best(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or found.empty:
             return pd.DataFrame({"query_id": queries["query_id"][:0], key: found[key][:0], "score": np.zeros(0)})
         score = np.round(matrix(queries) @ matrix(found).T, SCORE_DIGITS)
         n = score.shape[1]
         last = np.partition(score, n - k, axis=1)[:, n - k, None] if n > k else -np.inf
-        i, j = np.nonzero((score >= last) & (score > 0))
+        i, j = np.nonzero((score >= last) & ((score > 0) | (not positive)))
         return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[i], key: found[key].to_numpy()[j], "score": score[i, j]})
 
     kind = lambda df, c: df.schema[c].dataType.simpleString()
-    ship(vectors.sparkSession)
+    ship(docs.sparkSession)
     return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(best, f"query_id {kind(sought, 'query_id')}, {key} {kind(docs, key)}, score double")
 
 
-def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame) -> DataFrame:
-    """(query_id, key, score): cosines of every vector with every query vector.
-
-    `asked` (query_id, vector) is a stated query set: the join is a broadcast nested loop of it, where the planner
-    finds it small, and never materialises vectors' pairs beyond their score.
-    """
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    unit = lambda v: F.sqrt(dot(v, v))
-    left = vectors.select(key, F.col(vector).alias("v"), unit(F.col(vector)).alias("nv"))
-    right = asked.select("query_id", F.col("vector").alias("q"), unit(F.col("vector")).alias("nq"))
-    score = dot(F.col("v"), F.col("q")) / (F.col("nv") * F.col("nq"))
-    return left.join(right, (F.col("nv") > 0) & (F.col("nq") > 0)).select("query_id", key, F.round(score, SCORE_DIGITS).alias("score"))
-
-
 def top(scores: DataFrame, key: str, k: int) -> DataFrame:
     """(query_id, key, score, rank): the best `k` of each query."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(key))
@@ -192,27 +214,43 @@ def fuse(rankings: list[DataFrame], key: str, k: int, weights: DataFrame | None
     return top(total, key, k)
 
 
+def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
+    """What searches read of a corpus: `documents` (id, path, reference, dl) of its searchable chunks, each id once,
+    `postings` (term, id, tf) and `vectors` (id, bucket, value).
+
+    The text of a chunk is its place, its symbol and its content.
+    """
+    one = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
+    body = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content")
+    reference = F.concat("repo", F.lit("/"), "path", F.lit(":"), F.col("start_line"), F.lit("-"), F.col("end_line"))
+    docs = one.select("id", "path", reference.alias("reference"), F.size(tx.tokens(body)).alias("dl"), body.alias("body"))
+    kept = postings(docs, "id", "body")
+    return {"documents": docs.drop("body"), "postings": kept, "vectors": hashed_of(kept, "id")}
+
+
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
+    """(query_id, id, score, rank, reference): `search_tables` over chunks that no index keeps."""
+    return search_tables(corpus_tables(chunks), queries, k, mode)
+
+
+def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
     """(query_id, id, score, rank, reference): the best `k` chunks of each query (query_id, query).
 
     Blank queries find nothing. `hybrid` fuses the lexical ranking, weighted by kind of source, with that of hashed
-    vectors, and weights again; the others rank by their own weighted scores. Repeated chunks count once by id.
+    vectors, and weights again; the others rank by their own weighted scores. Only the tables of `corpus_tables` are
+    read, never a text.
     """
     check_search(k, mode)
-    docs = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
-    head = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol")
-    docs = docs.select("id", "repo", "path", "start_line", "end_line", F.concat_ws(" ", head, "content").alias("body"), F.concat_ws("\n", head, "content").alias("embedded"))
+    docs = kept["documents"]
     asked = queries.filter(tx.collapse(F.col("query")) != "")
     n = candidates_for(k)
     weight = source_weight(F.col("path"), F.col("query"))
     kinds = docs.select("id", "path")
     lexical = vector = None
     if mode != "vector":
-        lexical = top(bm25(docs, "id", "body", asked, weight), "id", n)
+        lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, weight), "id", n)
     if mode != "lexical":
-        vectors = hashed_vectors(docs, "id", "embedded")
-        sought = hashed_vectors(asked, "query_id", "query")
-        vector = top(sparse_cosine(vectors, "id", sought), "id", n)
+        vector = top(sparse_cosine(kept["vectors"], "id", hashed_vectors(asked, "query_id", "query")), "id", n)
     if mode == "hybrid":
         ids = lexical.select("query_id", "id").unionByName(vector.select("query_id", "id")).distinct()
         weights = ids.join(kinds, "id").join(asked, "query_id").select("query_id", "id", weight.alias("weight"))
@@ -222,8 +260,7 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybri
     else:
         weighted = vector.join(kinds, "id").join(asked, "query_id").select("query_id", "id", F.round(F.col("score") * weight, SCORE_DIGITS).alias("score"))
         best = top(weighted, "id", k)
-    reference = F.concat("repo", F.lit("/"), "path", F.lit(":"), F.col("start_line"), F.lit("-"), F.col("end_line"))
-    return best.join(docs.select("id", reference.alias("reference")), "id").select("query_id", "id", "score", "rank", "reference")
+    return best.join(docs.select("id", "reference"), "id").select("query_id", "id", "score", "rank", "reference")
 
 
 def find_symbol(chunks: DataFrame, symbol: str, limit: int = 100) -> DataFrame:

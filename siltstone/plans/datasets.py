@@ -9,11 +9,10 @@ from pyspark.sql.window import Window
 from siltstone.functions import screening
 from siltstone.functions import text as tx
 from siltstone.functions.paths import plain_repo
-from siltstone.operators import components, dedup, evaluation, examples, knowledge, retrieval, splits
-from siltstone.plans.corpus import _WS, _any, _re2, _tokens
+from siltstone.operators import components, dedup, evaluation, examples, incremental, knowledge, retrieval, splits
+from siltstone.plans.corpus import _WS, _any, _for_re2, _re2, _tokens
 from siltstone.runtime import table
-from siltstone.sources import files as sources
-from siltstone.sources import html, sinks
+from siltstone.sources import sinks
 from siltstone.streaming import events as windows
 from siltstone.streaming import index
 
@@ -82,11 +81,12 @@ def _unique_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 def example_rows(spark: SparkSession, d: str) -> DataFrame:
     found = examples.examples(_unique_chunks(spark, d))
-    return found.select("id", "task", "reference", examples.valid_messages(F.col("messages")).alias("valid"))
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+    return found.select("id", "task", "reference", tx.digest(said).alias("digest"))
 
 
 def task_counts(spark: SparkSession, d: str) -> DataFrame:
-    return example_rows(spark, d).groupBy("task").agg(F.count("*").alias("n"))
+    return examples.examples(_unique_chunks(spark, d)).groupBy("task").agg(F.count("*").alias("n"))
 
 
 def context_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -102,29 +102,6 @@ def per_file_questions(spark: SparkSession, d: str) -> DataFrame:
     return examples.per_file_questions(table(spark, d, "chunks"), 30)
 
 
-_REVIEW = "id string, reference string, content_hash string, approved boolean, reviewer string, messages array<struct<role:string,content:string>>"
-
-
-def review_import(spark: SparkSession, d: str) -> DataFrame:
-    talk = lambda *x: [("user", x[0]), ("assistant", x[1])]
-    rows = spark.createDataFrame(
-        [
-            ("1", "r/a:1-5", "h1", True, "ann", talk("What is it?", "A parser of settings.")),
-            ("2", "r/a:1-5", "h1", True, "ann", talk("What is it?", "A parser of settings.")),
-            ("3", "r/b:1-5", "h2", None, "ann", talk("What?", "Not approved.")),
-            ("4", "r/b:1-5", "h2", True, "  ", talk("What?", "No reviewer.")),
-            ("5", "r/b:1-5", "h2", True, "bob", talk("What?", "   ")),
-            ("6", "r/b:1-5", "h2", True, "bob", talk("Known?", "Already there.")),
-            ("7", "r/b:1-5", "h2", True, "bob", talk("New?", "Ein neuer Satz über Umläufe.")),
-            ("8", "r/b:1-5", "h2", True, "bob", [("user", "alone")]),
-        ],
-        _REVIEW,
-    )
-    known = rows.filter("id = '6'")
-    live = spark.createDataFrame([("r/a:1-5", "h1"), ("r/b:1-5", "h2")], "reference string, content_hash string")
-    return examples.import_reviewed(rows, known, live).select("id", "reference", "reviewer")
-
-
 def claim_metrics(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "chunk_matches")
     share = F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0)
@@ -143,94 +120,17 @@ def useful_facts(spark: SparkSession, d: str) -> DataFrame:
     return knowledge.useful_facts(docs, ["doc_id"], "text", _FACT_WORDS).select("doc_id", F.array_join("facts", "\u0001").alias("facts"))
 
 
-def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    files = dedup.first_by(table(spark, d, "source_files").filter("content is not null and code_lang = 'go'"), ["repo", "path"], ["commit_hash", "scanned_at"])
-    return index.parse(files.withColumn("content", F.regexp_replace("content", "\r\n?", "\n")), "skip")
-
-
-def evidence_rules(spark: SparkSession, d: str) -> DataFrame:
-    return knowledge.evidence(_parsed(spark, d)).select("evidence_id", "repo", "path", "pattern", "call", F.array_join("families", ",").alias("families"), tx.digest(F.col("snippet")).alias("snippet"))
-
-
-def family_counts(spark: SparkSession, d: str) -> DataFrame:
-    return knowledge.family_counts(knowledge.evidence(_parsed(spark, d)), ["security", "retry", "replay"])
-
-
-def best_fact(spark: SparkSession, d: str) -> DataFrame:
-    asked = spark.createDataFrame([(1, "retry", "Backoff", ["jitter"]), (2, "retry", "Absent", ["jitter", "limit"]), (3, "ledger", "Ledger", ["balance"]), (4, "none", "X", ["y"])], "question_id int, family string, preferred_title string, keywords array<string>")
-    facts = spark.createDataFrame([("a", "retry", "Backoff", "Overview", "waits longer each time"), ("b", "retry", "Backoff", "Use", "adds jitter to waits"), ("c", "retry", "Circuit", "Overview", "Jitter and limit of calls"), ("d", "ledger", "Books", "Use", "balance"), ("e", "ledger", "Books", "Use", "Balance of books")], "fact_id string, family string, title string, section string, content string")
-    return knowledge.best_fact(asked, facts)
-
-
-def least_used(spark: SparkSession, d: str) -> DataFrame:
-    asked = spark.createDataFrame([(i, p) for i, p in enumerate(["x", "x", "y", "x", "y", "z"])], "question_id int, pattern string")
-    found = spark.createDataFrame([("e1", "x"), ("e2", "x"), ("e3", "y")], "evidence_id string, pattern string")
-    return knowledge.least_used(asked, found)
-
-
-def record_validation(spark: SparkSession, d: str) -> DataFrame:
-    facts = spark.createDataFrame([("f1", "Backoff", ["A client waits before it tries again."])], "fact_id string, title string, facts array<string>")
-    live = spark.createDataFrame([("e1", "h1")], "evidence_id string, live_hash string")
-    good = "The page says: A client waits before it tries again."
-    rows = [
-        ("ok", "Explain what waiting does here.", good, "f1", "Backoff", "e1", "h1", True),
-        ("short", "Explain", good, "f1", "Backoff", None, None, False),
-        ("lost", "Explain what waiting does here.", good, "f9", "Backoff", None, None, False),
-        ("stale", "Explain what waiting does here.", good, "f1", "Backoff", "e1", "h0", True),
-        ("title", "Explain what waiting does here.", good, "f1", "Retry", None, None, True),
-        ("made up", "Explain what waiting does here.", "Nothing of this was ever said by anyone.", "f1", "Backoff", None, None, False),
-        ("private", "Explain what waiting does here.", good + " See https://a.corp/x", "f1", "Backoff", None, None, False),
-    ]
-    records = spark.createDataFrame(rows, "record_id string, instruction string, output string, fact_id string, source_title string, evidence_id string, snippet_hash string, linked boolean")
-    return knowledge.record_errors(records, facts, live).select("record_id", F.array_join("errors", ",").alias("errors"))
-
-
 # --- sources, sinks, state -------------------------------------------------------------------------------------------
 
 
-def catalog_validation(spark: SparkSession, d: str) -> DataFrame:
-    base = ("core", "P0", "retry", ["t"], ("L", "https://l.example/"), "about it")
-    rows = [
-        ("Exponential backoff", "https://en.example.org/wiki/Exponential_backoff", *base),
-        ("Two words", "https://en.example.org/wiki/Other", *base),
-        ("Query", "https://en.example.org/wiki/Query?x=1", *base),
-        ("Plain", "http://en.example.org/wiki/Plain", *base),
-        ("Same, same", "https://en.example.org/wiki/Same,_same", *base),
-        ("same same", "https://en.example.org/wiki/same_same", "odd", "P7", "retry", None, ("L", "l"), " "),
-        ("Café", "https://en.example.org/wiki/Caf%C3%A9", *base),
-    ]
-    found = sources.catalog_errors(spark.createDataFrame(rows, sources.CATALOG), "en.example.org", ["core", "extra"], ["P0", "P1", "P2"])
-    return found.select("title", F.array_join("errors", ",").alias("errors"))
-
-
-_PAGES = [
-    (1, "<html><body><nav>Home About Contact and more links</nav><h1>Title</h1><p>The first paragraph has enough words here.[1]<p>Second one follows without a closing tag at all.<h2>History of it</h2><p>Nobody should ever see this old paragraph here.<h3>Deeper</h3><p>Nor this one, which lies still deeper below.<h2>Use</h2><ul><li>An item of the list <p>with a paragraph inside</p></li></ul><table><tr><td>cells are not part of it at all</td></tr></table></body></html>"),
-    (2, "<div class='ad big'>Buy now and get five more things</div><p>Energy is <math alttext='E=mc2'><mi>E</mi></math> as they say in books.</p><p>ENERGY IS E=mc2 AS THEY SAY IN BOOKS.</p><p>Too short here</p>"),
-    (3, None),
-]
-
-
-def html_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return html.html_blocks(spark.createDataFrame(_PAGES, "page_id int, html string"), "page_id", "html").select("page_id", "section", "content")
-
-
-def scan_report(spark: SparkSession, d: str) -> DataFrame:
-    rows = [("r", p, c) for p, c in [("a.go", "package a\n"), ("vendor/b.go", "package b\n"), ("c.txt", "x"), (".env", "A"), ("d.md", "mail me@corp.example"), ("e.go", "// DO NOT EDIT\n"), ("f.sh", "x" * 50), ("g.md", "ok\n\npassword: 'abcdef'\n"), ("link.go", "package l\n")]]
-    given = spark.createDataFrame(rows, "repo string, path string, text string").select("repo", "path", F.octet_length("text").alias("length"), F.encode("text", "UTF-8").alias("bytes"))
-    accepted, report = sources.scan(given, 40, ["link.go"])
-    return report.unionByName(accepted.select("repo", "path", F.lit("accepted").alias("rule"), F.lit(None).cast("int").alias("line")))
-
-
 def index_diff(spark: SparkSession, d: str) -> DataFrame:
-    from siltstone.operators import incremental
-
     now = incremental.newest_files(table(spark, d, "source_files"))
     return index.snapshot_diff(now, incremental.recorded_files(table(spark, d, "files"), table(spark, d, "runs")))
 
 
 def table_digest(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "files").select("file_key", "hash", "run_id")
-    return sinks.content_hash(rows).select("rows", F.length("content_hash").alias("digits"))
+    return sinks.content_hash(rows)
 
 
 def smoke_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -255,9 +155,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         exact_dedup_first, semantic_dedup, close_documents, module_split, split_leakage, shared_groups, greedy_group_split, ratio_cap, split_ratios,
-        example_rows, task_counts, context_packing, task_cycle, per_file_questions, review_import, claim_metrics,
-        useful_facts, evidence_rules, family_counts, best_fact, least_used, record_validation,
-        catalog_validation, html_blocks, scan_report, index_diff, table_digest, smoke_sample, events_tumbling, events_sliding, events_sessions,
+        example_rows, task_counts, context_packing, task_cycle, per_file_questions, claim_metrics,
+        useful_facts, index_diff, table_digest, smoke_sample, events_tumbling, events_sliding, events_sessions,
     )
 }
 
@@ -281,17 +180,18 @@ _REF = "repo || '/' || path || ':' || start_line || '-' || end_line"
 _IN = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 _QUOTED = "array_to_string(list_transform({l}, lambda n: '`' || n || '`'), ', ')"
 _NL = "chr(10)"
+_SYNTAX = "'. That is syntax; what runs depends on what is called.'"
 _EXAMPLES = f"""{_UNIQUE},
 fit AS (SELECT id, content, {_REF} AS reference, coalesce(facts.calls, []) AS calls, coalesce(facts.constructs, []) AS constructs, coalesce(facts.doc, '') AS doc FROM one
   WHERE code_lang = 'go' AND symbol_type IN {_IN(examples.KINDS)} AND length(content) <= 9000 AND len(regexp_extract_all(content, '\\r\\n|[\\n\\r\\x{{0b}}\\x{{0c}}\\x{{1c}}-\\x{{1e}}\\x{{85}}\\x{{2028}}\\x{{2029}}]')) + CASE WHEN regexp_matches(content, '[\\n\\r\\x{{0b}}\\x{{0c}}\\x{{1c}}-\\x{{1e}}\\x{{85}}\\x{{2028}}\\x{{2029}}]$') THEN 0 ELSE 1 END >= 3 AND {_REF} IS NOT NULL),
 lists AS (SELECT *, list_filter(calls, lambda c: c NOT IN {_IN(examples.TRIVIAL)}) AS telling, list_filter(constructs, lambda c: c IN {_IN(examples.CONCURRENT)}) AS conc,
   list_filter(calls, lambda c: regexp_extract(c, '([^.]*)$', 1) IN {_IN(examples.TRANSACTIONAL)}) AS trans, list_filter(calls, lambda c: c IN {_IN(examples.FAILING)}) AS fail FROM fit),
 made AS (
-  SELECT id, reference, content, 'dependencies' AS task, 'What does it call directly?' AS ask, 'It calls ' || {_QUOTED.format(l='telling')} || '.' AS answer FROM lists WHERE len(telling) >= 3 AND ('0x' || sha256(reference || ':dependencies')[1:8])::BIGINT % 100 < 30
-  UNION ALL SELECT id, reference, content, 'function', 'What does its author say that it does?', 'The author says:' || {_NL} || doc FROM lists WHERE doc <> ''
-  UNION ALL SELECT id, reference, content, 'concurrency', 'Which', {_QUOTED.format(l='conc')} FROM lists WHERE len(conc) > 0
-  UNION ALL SELECT id, reference, content, 'transactions', 'Which', {_QUOTED.format(l='trans')} FROM lists WHERE len(trans) > 0
-  UNION ALL SELECT id, reference, content, 'errors', 'Which', {_QUOTED.format(l='fail')} FROM lists WHERE len(fail) > 0),
+  SELECT id, reference, content, 'dependencies' AS task, 'What does it call directly?' AS ask, 'It calls ' || {_QUOTED.format(l='telling')} || '. What those call in turn is not visible here.' AS answer FROM lists WHERE len(telling) >= 3 AND ('0x' || sha256(reference || ':dependencies')[1:8])::BIGINT % 100 < 30
+  UNION ALL SELECT id, reference, content, 'function', 'What does its author say that it does?', 'The author says:' || {_NL} || doc || {_NL} || 'That is a claim, not a proof.' FROM lists WHERE doc <> ''
+  UNION ALL SELECT id, reference, content, 'concurrency', 'Which concurrency constructs or calls are explicit here, and what do they show?', 'Visible here: ' || {_QUOTED.format(l='conc')} || {_SYNTAX} FROM lists WHERE len(conc) > 0
+  UNION ALL SELECT id, reference, content, 'transactions', 'Which transactions constructs or calls are explicit here, and what do they show?', 'Visible here: ' || {_QUOTED.format(l='trans')} || {_SYNTAX} FROM lists WHERE len(trans) > 0
+  UNION ALL SELECT id, reference, content, 'errors', 'Which errors constructs or calls are explicit here, and what do they show?', 'Visible here: ' || {_QUOTED.format(l='fail')} || {_SYNTAX} FROM lists WHERE len(fail) > 0),
 asked AS (SELECT *, 'Source of ' || reference || ':' || {_NL} || '```go' || {_NL} || content || {_NL} || '```' || {_NL} || ask AS prompt FROM made),
 told AS (SELECT * FROM asked WHERE NOT ({_any('prompt')}) AND NOT ({_any('answer')}))"""
 
@@ -300,14 +200,16 @@ SQL = {
     "close_documents": f"WITH {_VEC} SELECT * FROM close",
     "semantic_dedup": f"""
 WITH RECURSIVE {_VEC},
-involved AS (SELECT DISTINCT b AS k FROM close), ordered AS (SELECT k, row_number() OVER (ORDER BY k) AS i FROM involved),
+same AS (SELECT doc_id AS b, min(doc_id) OVER (PARTITION BY text) AS a FROM documents WHERE text IS NOT NULL),
+linked AS MATERIALIZED (SELECT a, b FROM close UNION SELECT a, b FROM same WHERE a < b),
+involved AS (SELECT DISTINCT b AS k FROM linked), ordered AS (SELECT k, row_number() OVER (ORDER BY k) AS i FROM involved),
 fold(i, fallen) AS (
   SELECT 0::BIGINT, []::BIGINT[]
   UNION ALL
-  SELECT o.i, CASE WHEN EXISTS (SELECT 1 FROM close c WHERE c.b = o.k AND NOT list_contains(f.fallen, c.a)) THEN list_append(f.fallen, o.k) ELSE f.fallen END FROM fold f JOIN ordered o ON o.i = f.i + 1),
+  SELECT o.i, CASE WHEN EXISTS (SELECT 1 FROM linked c WHERE c.b = o.k AND NOT list_contains(f.fallen, c.a)) THEN list_append(f.fallen, o.k) ELSE f.fallen END FROM fold f JOIN ordered o ON o.i = f.i + 1),
 fell AS (SELECT unnest(fallen) AS k FROM (SELECT fallen FROM fold ORDER BY i DESC LIMIT 1))
 SELECT d.doc_id, d.doc_id NOT IN (SELECT k FROM fell) AS kept,
-  CASE WHEN d.doc_id IN (SELECT k FROM fell) THEN (SELECT min(c.a) FROM close c WHERE c.b = d.doc_id AND c.a NOT IN (SELECT k FROM fell)) END AS duplicate_of
+  CASE WHEN d.doc_id IN (SELECT k FROM fell) THEN (SELECT min(c.a) FROM linked c WHERE c.b = d.doc_id AND c.a NOT IN (SELECT k FROM fell)) END AS duplicate_of
 FROM documents d WHERE text IS NOT NULL""",
     "module_split": f"""
 WITH RECURSIVE keys AS (SELECT DISTINCT repo || '/' || path AS file_key, repo || '/' || {_PARENT.format(c='path')} AS module FROM source_files WHERE repo || '/' || path IS NOT NULL),
@@ -320,9 +222,10 @@ WITH RECURSIVE rows AS (SELECT DISTINCT id, file_key, CASE WHEN length(content)
 keys AS (SELECT id, 'file:' || file_key AS key FROM rows WHERE file_key IS NOT NULL UNION SELECT id, 'text:' || fp FROM rows WHERE fp IS NOT NULL),
 edges AS MATERIALIZED (SELECT DISTINCT k.id AS a, h.hub AS b FROM keys k JOIN (SELECT key, min(id) AS hub FROM keys GROUP BY key) h USING (key)), {_CC},
 grouped AS (SELECT DISTINCT rows.id, coalesce(r, rows.id) AS root FROM rows LEFT JOIN cc ON v = rows.id)
-SELECT root, sha256(string_agg(id, '|' ORDER BY id)) AS group_id, count(*) AS size FROM grouped GROUP BY root""",
-    "greedy_group_split": """
-WITH RECURSIVE sizes AS (SELECT lower(regexp_extract(repo, '([a-z]+)[-_][a-z]+', 1)) AS team, count(*) AS n FROM source_files GROUP BY 1 HAVING team <> ''),
+SELECT root, sha256(concat_ws('|', """ + ", ".join(f"sum(('0x' || h[{1 + 8 * i}:{8 + 8 * i}])::BIGINT::HUGEINT)::VARCHAR" for i in range(8)) + """)) AS group_id, count(*) AS size FROM (SELECT root, sha256(id) AS h FROM grouped) GROUP BY root""",
+    "greedy_group_split": r"""
+WITH RECURSIVE named AS (SELECT coalesce(replace(regexp_extract(regexp_replace(regexp_replace(lower(repo), '^[\s/]+|[\s/]+$', '', 'g'), '\.git$', ''), '([^/:\\]*)$', 1), '_', '-'), '') AS name FROM source_files),
+sizes AS (SELECT coalesce(nullif(regexp_extract(name, '([a-z]+)-[a-z]+', 1), ''), name) AS team, count(*) AS n FROM named GROUP BY 1),
 ordered AS (SELECT team, n, row_number() OVER (ORDER BY n DESC, team) AS i, count(*) OVER () AS c, sum(n) OVER () AS total FROM sizes),
 fold(i, test, train, validation, split, team) AS (
   SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR
@@ -340,7 +243,7 @@ WITH rows AS (SELECT doc_id, CASE WHEN {_SHARE.format(c='doc_id::VARCHAR')} < 0.
 per AS (SELECT split, count(*) FILTER (linked) AS l FROM rows GROUP BY 1)
 SELECT doc_id, split, linked FROM (SELECT r.*, l, row_number() OVER (PARTITION BY r.split, linked ORDER BY doc_id) AS n FROM rows r JOIN per USING (split)) WHERE linked OR n <= floor(l * 0.4 / 0.6 + 1e-9)""",
     "split_ratios": "SELECT coalesce(lang, 'none') AS split, count(*) AS total, count(*) FILTER (repo IS NOT NULL) AS linked, round(count(*) FILTER (repo IS NOT NULL) / count(*), 6) AS share FROM documents GROUP BY 1",
-    "example_rows": f"WITH {_EXAMPLES} SELECT id, task, reference, true AS valid FROM told",
+    "example_rows": f"WITH {_EXAMPLES} SELECT id, task, reference, sha256('user: ' || prompt || chr(10) || 'assistant: ' || answer) AS digest FROM told",
     "task_counts": f"WITH {_EXAMPLES} SELECT task, count(*) AS n FROM told GROUP BY task",
     "context_packing": f"""
 WITH RECURSIVE one AS MATERIALIZED (SELECT id, c.* FROM (SELECT id, min({{'repo': repo, 'path': path, 'start_line': start_line, 'content': content}}) AS c FROM chunks WHERE id IS NOT NULL AND content IS NOT NULL GROUP BY id)),
@@ -353,7 +256,6 @@ fold(id, module, k, used, ids) AS (
 SELECT id, array_to_string(ids, ',') AS context, used FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k DESC) AS rn FROM fold) WHERE rn = 1""",
     "task_cycle": "SELECT n, id, task FROM (SELECT row_number() OVER (ORDER BY id, t) AS n, id, task FROM (SELECT DISTINCT id FROM chunks WHERE id IS NOT NULL), (VALUES (0, 'explain'), (1, 'test'), (2, 'review'), (3, 'document')) AS v(t, task)) WHERE n <= 250",
     "per_file_questions": "SELECT file_key, c.id AS id, 'Where is ' || c.symbol || ' declared?' AS question FROM (SELECT file_key, min({'start_line': start_line, 'id': id, 'symbol': symbol}) AS c FROM chunks WHERE symbol_type IN ('function', 'method', 'struct', 'interface') AND symbol IS NOT NULL GROUP BY file_key) ORDER BY file_key LIMIT 30",
-    "review_import": "SELECT * FROM (VALUES ('1', 'r/a:1-5', 'ann'), ('7', 'r/b:1-5', 'bob')) AS t(id, reference, reviewer)",
     "claim_metrics": """
 WITH a AS (SELECT matcher AS variant, match_id % 4 AS n, CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END AS acc, round(score, 3) AS lat FROM chunk_matches),
 s AS (SELECT *, n > 0 AS rev, CASE WHEN n > 1 THEN 1 ELSE 0 END AS u, CASE WHEN n = 2 THEN 1 ELSE 0 END AS c FROM a)
@@ -361,14 +263,8 @@ SELECT variant, count(*) AS cases, count(*) FILTER (rev) AS reviewed_cases, roun
   round(avg(acc), 6) AS location_accuracy, round(avg(lat), 6) AS latency_seconds, CASE WHEN variant < 'm' THEN round(avg(acc), 6) END AS source_accuracy FROM s GROUP BY variant""",
     "useful_facts": f"""
 WITH s AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?]){_WS}+([A-Z0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS l FROM documents WHERE text IS NOT NULL)),
-fit AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM s WHERE len(list_filter(regexp_split_to_array(s, '{_WS}+'), lambda x: x <> '')) BETWEEN 8 AND 120 AND regexp_matches(s, '{_FACT_WORDS}') AND NOT ({_any('s')} OR regexp_matches(s, '{_re2(screening.PRIVATE)}')))
+fit AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM s WHERE len(list_filter(regexp_split_to_array(s, '{_WS}+'), lambda x: x <> '')) BETWEEN 8 AND 120 AND regexp_matches(s, '{_FACT_WORDS}') AND NOT ({_any('s')} OR regexp_matches({_for_re2('s', 'private')}, '{_re2(screening.PRIVATE)}')))
 SELECT doc_id, string_agg(s, chr(1) ORDER BY i) AS facts FROM fit WHERE n <= 3 GROUP BY doc_id""",
-    "best_fact": "SELECT * FROM (VALUES (1, 'a'), (2, 'c'), (3, 'd')) AS t(question_id, fact_id)",
-    "least_used": "SELECT * FROM (VALUES (0, 'e1'), (1, 'e2'), (2, 'e3'), (3, 'e1'), (4, 'e3')) AS t(question_id, evidence_id)",
-    "record_validation": "SELECT * FROM (VALUES ('ok', ''), ('short', 'missing_or_trivial_fields'), ('lost', 'missing_source'), ('stale', 'stale_or_fabricated_code'), ('title', 'source_metadata_mismatch,incorrect_linked_flag'), ('made up', 'unsupported_source_fact'), ('private', 'sensitive_content')) AS t(record_id, errors)",
-    "catalog_validation": "SELECT * FROM (VALUES ('Exponential backoff', ''), ('Two words', 'title_mismatch'), ('Query', 'bad_url'), ('Plain', 'bad_url'), ('Same, same', 'repeated_slug'), ('same same', 'missing_field,unknown_category,unknown_priority,bad_license_or_tags,repeated_slug'), ('Café', '')) AS t(title, errors)",
-    "html_blocks": "SELECT * FROM (VALUES (1, 'Title', 'The first paragraph has enough words here.'), (1, 'Title', 'Second one follows without a closing tag at all.'), (1, 'Use', 'An item of the list with a paragraph inside'), (2, 'Overview', 'Energy is E=mc2 as they say in books.')) AS t(page_id, section, content)",
-    "scan_report": "SELECT * FROM (VALUES ('r', 'a.go', 'accepted', NULL), ('r', 'vendor/b.go', 'excluded_path', NULL), ('r', '.env', 'excluded_path', NULL), ('r', 'd.md', 'email_literal', 1), ('r', 'f.sh', 'oversized', NULL), ('r', 'g.md', 'credential_literal', 3), ('r', 'g.md', 'credential_yaml', 2), ('r', 'link.go', 'symlink', NULL)) AS t(repo, path, rule, line)",
     "index_diff": r"""
 WITH now AS (
   SELECT repo || '/' || path AS file_key, arg_max({'h': coalesce(lower(content_hash), sha256(content)), 'c': lower(commit_hash)}, {'a': scanned_at, 'b': commit_hash}) AS n FROM source_files GROUP BY 1),
@@ -377,7 +273,7 @@ was AS (
   FROM files f JOIN runs r ON r.run_id = f.run_id WHERE r.status = 'success' AND f.hash IS NOT NULL GROUP BY 1)
 SELECT coalesce(now.file_key, was.file_key) AS file_key, CASE WHEN was.file_key IS NULL THEN 'added' WHEN now.file_key IS NULL THEN 'deleted' WHEN n.h <> w.h THEN 'changed'
   WHEN NOT (starts_with(n.c, w.c) OR starts_with(w.c, n.c)) THEN 'recommitted' ELSE 'unchanged' END AS state FROM now FULL JOIN was ON was.file_key = now.file_key""",
-    "table_digest": "SELECT count(*) AS rows, 64 AS digits FROM files",
+    "table_digest": "SELECT count(*) AS rows, sha256(concat_ws('|', " + ", ".join(f"coalesce(sum(('0x' || r[{1 + 8 * i}:{8 + 8 * i}])::BIGINT::HUGEINT)::VARCHAR, '0')" for i in range(8)) + ")) AS content_hash FROM (SELECT sha256(to_json({'file_key': file_key, 'hash': hash, 'run_id': run_id})::VARCHAR) AS r FROM files)",
     "smoke_sample": "SELECT repo, path FROM (SELECT repo, path, row_number() OVER (PARTITION BY repo ORDER BY path) AS n FROM (SELECT DISTINCT repo, path FROM source_files WHERE repo IS NOT NULL AND path IS NOT NULL)) WHERE n <= 4",
     "events_tumbling": "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL",
     "events_sliding": "SELECT start, count(*) AS n FROM (SELECT unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS start FROM events) GROUP BY start",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators import incremental
-from siltstone.plans import corpus, datasets, search, structure
+from siltstone.plans import building, corpus, datasets, search, structure
 from siltstone.runtime import table
 
 
@@ -16,7 +16,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_found": p6_found}
-for _plan in (corpus, structure, search, datasets):
+for _plan in (corpus, structure, search, datasets, building):
     QUERIES |= _plan.QUERIES
 
 SQL: dict[str, str] = {
@@ -33,5 +33,5 @@ kinds AS (
   FROM now LEFT JOIN was ON was.file_key = now.file_key)
 SELECT file_key, change_kind FROM kinds WHERE change_kind IS NOT NULL""",
 }
-for _plan in (corpus, structure, search, datasets):
+for _plan in (corpus, structure, search, datasets, building):
     SQL |= _plan.SQL

@@ -78,7 +78,7 @@ def hashed_vector_topk(spark: SparkSession, d: str) -> DataFrame:
 def dense_vector_topk(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     asked = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    return retrieval.top(retrieval.dense_cosine(rows, "vec_id", "embedding", asked), "vec_id", 10)
+    return retrieval.top(retrieval.dense_cosine(rows, "vec_id", "embedding", asked, 10), "vec_id", 10)
 
 
 def hybrid_topk(spark: SparkSession, d: str) -> DataFrame:

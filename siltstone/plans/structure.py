@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import screening
 from siltstone.functions import text as tx
 from siltstone.operators import chunking, golang
-from siltstone.plans.corpus import _WS
+from siltstone.plans.corpus import _WS, _re2
 from siltstone.runtime import table
 
 KEY = ["repo", "path", "commit_hash"]
@@ -32,7 +32,7 @@ def token_batches(spark: SparkSession, d: str) -> DataFrame:
 
 def line_windows(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("content")
-    return table(spark, d, "chunks").filter("content is not null").select("id", F.size(tx.lines(c)).alias("lines"), tx.digest(tx.line_slice(c, F.lit(2), F.lit(4))).alias("digest")).distinct()
+    return table(spark, d, "chunks").filter("content is not null").select("id", F.size(tx.lines(c)).alias("lines"), tx.digest(tx.line_slice(c, F.lit(2), F.size(tx.lines(c)) - 1)).alias("digest")).distinct()
 
 
 def go_declarations(spark: SparkSession, d: str) -> DataFrame:
@@ -40,37 +40,12 @@ def go_declarations(spark: SparkSession, d: str) -> DataFrame:
     return golang.go_chunks(files, KEY, "content", "report").select(*KEY, "start_line", "end_line", "symbol", "symbol_type", F.array_join("facts.calls", ",").alias("calls"), F.array_join("facts.constructs", ",").alias("constructs"))
 
 
-_GO = """package pay
-
-import "fmt"
-
-// Pay pays.
-func (s *Service) Pay(n int) error {
-	if n > 3 {
-		return fmt.Errorf("no } %d", n)
-	}
-	go s.run()
-	return nil
-}
-
-const (
-	Pending, Open = 1, 2
-	Done = 3
-)
-"""
-
-
-def go_sample(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([("a", _GO), ("b", "package broken\nfunc f( {\n")], "name string, content string")
-    return golang.go_chunks(rows, ["name"], "content", "skip").select("name", "start_line", "end_line", "symbol", "symbol_type", F.array_join("facts.calls", ",").alias("calls"), F.array_join("facts.constructs", ",").alias("constructs"))
-
-
 def language_counts(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "source_files")
     return files.groupBy(screening.language_of(F.col("path")).alias("found_lang"), "code_lang").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (sections, section_runs, token_batches, line_windows, go_declarations, go_sample, language_counts)}
+QUERIES = {f.__name__: f for f in (sections, section_runs, token_batches, line_windows, go_declarations, language_counts)}
 
 _ENDS = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 _SPLIT = f"regexp_split_to_array({{c}}, '{_ENDS}')"
@@ -81,7 +56,7 @@ def _lines(c: str) -> str:
     return f"CASE WHEN {c} = '' THEN [] WHEN {split}[-1] = '' THEN {split}[1 : len({split}) - 1] ELSE {split} END"
 
 
-_BOUNDARY = "CASE code_lang " + " ".join(f"WHEN '{k}' THEN regexp_matches(line, '{p}')" for k, p in chunking.BOUNDARIES.items()) + " ELSE line = '' END"
+_BOUNDARY = "CASE code_lang " + " ".join(f"WHEN '{k}' THEN regexp_matches(line, '{_re2(p)}')" for k, p in chunking.BOUNDARIES.items()) + " ELSE line = '' END"
 _PIECES = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]"
 
 
@@ -116,10 +91,6 @@ fold(doc_id, k, n, part) AS (
   FROM fold f JOIN units u ON u.doc_id = f.doc_id AND u.k = f.k + 1),
 batches AS (SELECT f.doc_id, f.part, sum(u.n)::BIGINT AS n, string_agg(s, chr(10) || chr(10) ORDER BY f.k) AS body FROM fold f JOIN units u ON u.doc_id = f.doc_id AND u.k = f.k GROUP BY ALL)
 SELECT doc_id, part, greatest(1, n * 4 // 3) AS estimated_tokens, CASE WHEN greatest(1, n * 4 // 3) > 200 THEN 'oversized' WHEN greatest(1, n * 4 // 3) < 60 THEN 'short' ELSE 'target' END AS size_note, sha256(body) AS digest FROM batches""",
-    "line_windows": f"SELECT DISTINCT id, len(l) AS lines, sha256(array_to_string(l[2:4], chr(10))) AS digest FROM (SELECT id, {_lines('content')} AS l FROM chunks WHERE content IS NOT NULL)",
-    "go_sample": """
-SELECT * FROM (VALUES ('a', 1, 1, 'pay', 'package', '', ''), ('a', 3, 3, 'import', 'import', '', ''),
-  ('a', 5, 12, '(s *Service).Pay', 'method', 'fmt.Errorf,s.run', 'go_statement,if_statement,return_statement'),
-  ('a', 14, 17, 'Pending, Open, Done', 'const', '', '')) AS t(name, start_line, end_line, symbol, symbol_type, calls, constructs)""",
+    "line_windows": f"SELECT DISTINCT id, len(l) AS lines, sha256(array_to_string(l[2 : len(l) - 1], chr(10))) AS digest FROM (SELECT id, {_lines('content')} AS l FROM chunks WHERE content IS NOT NULL)",
     "language_counts": "SELECT CASE regexp_extract(path, '[^/](\\.[^./]+)$', 1) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in screening.LANGUAGES.items()) + " END AS found_lang, code_lang, count(*) AS n FROM source_files GROUP BY ALL",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import tempfile
@@ -10,7 +11,9 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Settings a session of this engine starts with; a session that exists keeps its own.
 DEFAULTS = {
@@ -45,6 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = os.path.join(tempfile.gettempdir(), f"siltstone-{os.getuid()}-{os.getpid()}")
     spark.conf.set("spark.checkpoint.dir", f"file://{folder}")
+    atexit.register(shutil.rmtree, folder, True)
     return f"file://{folder}"
 
 
@@ -69,6 +73,24 @@ def drop(*tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str | Column], name: str = "rank") -> DataFrame:
+    """`df` with the number of each row in its `group`, from 1, by `order`; without groups, in all of `df`.
+
+    A window would put each group into one task, however large it is. Here rows are sorted over all tasks and numbered
+    in each; what the tasks before hold of a group is added from a table of one row for each task and group in it.
+    """
+    rows = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    rows = cut(rows.withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    held = rows.groupBy(*group, "_task").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(*group, "_task", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    named = held.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_task").alias("_t"), "_first", "_before")
+    same = F.col("_task") == F.col("_t")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return rows.join(named, same).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once a session."""
     sc = spark.sparkContext
@@ -97,3 +119,85 @@ def replace_file(spark: SparkSession, path: str, text: str) -> None:
     options[0] = hadoop.Options.Rename.OVERWRITE
     context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
     context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file only if there is none of its name; whether it was written. Of several writers, one succeeds.
+
+    The file appears whole: it is written beside under another name first, then linked or renamed to its own.
+    """
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if fs.getUri().getScheme() == "file":
+        # a rename would replace the other's file here
+        name = target.toUri().getPath()
+        staged = f"{name}.{uuid.uuid4().hex}"
+        Path(staged).write_text(text)
+        try:
+            os.link(staged, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(staged)
+        return True
+    staged = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+    except Exception:  # noqa: BLE001
+        fs.delete(staged, False)
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
+class Versions:
+    """Versions of tables under `folder`. The one that counts is the last of the numbered files in `folder`/commits.
+
+    A version is written to a folder of its own name first and counts from the moment when the next number's file is
+    there. That file is created only if nobody else has created it, so of two writers that began from the same version
+    one fails, and nothing it wrote counts. The version before stays for those who read it; older ones are removed.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._jpath = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._jpath(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def current(self) -> dict | None:
+        """What was published last, or None before the first."""
+        commits = self._jpath(f"{self.folder}/commits")
+        if not self._fs.exists(commits):
+            return None
+        names = [f.getPath().getName() for f in self._fs.listStatus(commits)]
+        numbers = [n for n in names if n.endswith(".json") and n[:-5].isdigit()]
+        if not numbers:
+            return None
+        rows = self.spark.read.text(f"{self.folder}/commits/{max(numbers)}").collect()
+        return json.loads("".join(r["value"] for r in rows))
+
+    def read(self, part: str) -> DataFrame:
+        """A table of the version that counts."""
+        return self.spark.read.parquet(f"{self.folder}/{self.current()['version']}/{part}")
+
+    def publish(self, began: dict | None, parts: dict[str, DataFrame], told: dict) -> dict:
+        """Write `parts` as the version after `began` and make it count; raises if another has come before."""
+        number, version = (began["number"] if began else 0) + 1, f"v-{uuid.uuid4().hex}"
+        for name, df in parts.items():
+            df.write.parquet(f"{self.folder}/{version}/{name}")
+        now = told | {"number": number, "version": version, "before": began["version"] if began else None}
+        if not create_file(self.spark, f"{self.folder}/commits/{number:010}.json", json.dumps(now)):
+            self._fs.delete(self._jpath(f"{self.folder}/{version}"), True)
+            raise RuntimeError("another run has published since this one began")
+        if began and began["before"]:
+            self._fs.delete(self._jpath(f"{self.folder}/{began['before']}"), True)
+        return now

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import os
 import subprocess
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from siltstone.functions import screening
 from siltstone.functions import text as tx
+from siltstone.runtime import ship
 
 MOST_BYTES, GIT_SECONDS, SUBJECTS = 1_000_000, 30, 5
+#: How often a page is asked for, and its bytes at most.
+ATTEMPTS, MOST_PAGE_BYTES = 3, 8_000_000
 
 
 @dataclass(frozen=True)
@@ -84,35 +91,79 @@ def blame(repository: str, path: str) -> list[tuple[str, int]]:
     return out
 
 
+def with_blame(accepted: DataFrame, repository: str) -> DataFrame:
+    """Accepted files of one repository with `blame`: (commit_hash, line_no) of every line, null where Git knows none.
+
+    Git runs where the rows are, so the repository must lie in a folder that all executors see.
+    """
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("blame", T.ArrayType(T.StructType([T.StructField("commit_hash", T.StringType()), T.StructField("line_no", T.IntegerType())])))])
+    ship(accepted.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            told = []
+            for path in batch["path"]:
+                try:
+                    told.append([{"commit_hash": c, "line_no": n} for c, n in blame(repository, path)])
+                except subprocess.CalledProcessError:
+                    told.append(None)
+            yield pd.DataFrame({"path": batch["path"], "blame": told})
+
+    return accepted.join(accepted.select("path").distinct().mapInPandas(run, schema), "path")
+
+
 def read_folder(spark: SparkSession, folder: str, repo: str, pattern: str = "*") -> DataFrame:
-    """(repo, path, length, bytes) of all files below a folder, in parallel."""
+    """(repo, path, length, bytes) of all files below a folder of any file system, in parallel."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString().rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    root = os.path.abspath(folder).rstrip("/") + "/"
-    path = F.regexp_replace(F.regexp_replace("path", "^file:(//)?", ""), f"^{root}", "")
-    return files.select(F.lit(repo).alias("repo"), path.alias("path"), "length", F.col("content").alias("bytes"))
+    # the same file system may be spelled with or without empty slashes
+    tail = lambda s: s.split(":", 1)[-1].lstrip("/")
+    bare = F.regexp_replace("path", "^[a-z0-9]+:/*", "")
+    path = F.expr(f"substring(bare, {len(tail(root)) + 2})")
+    return files.withColumn("bare", bare).select(F.lit(repo).alias("repo"), path.alias("path"), "length", F.col("content").alias("bytes"))
 
 
-def scan(files: DataFrame, most_bytes: int = MOST_BYTES, links: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def scan(files: DataFrame, most_bytes: int = MOST_BYTES, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, report) of files (repo, path, length, bytes).
 
     Accepted rows have (repo, path, code_lang, content_hash, content). The report has (repo, path, rule, line) of what
-    was refused and why: `excluded_path`, `symlink`, `oversized`, or each finding of the screening. Files of other
-    languages, generated ones and what is no text are left out without a report. The cheap checks come first, and the
-    length is read before the bytes.
+    was refused and why: `excluded_path`, `symlink` (those of `links`: repo, path), `oversized`, or each finding of the
+    screening. Files of other languages, generated ones and what is no text are left out without a report. The cheap
+    checks come first, and the length is read before the bytes.
     """
     content = F.col("bytes").cast("string")
     excluded = screening.path_excluded(F.col("path"))
-    linked = F.col("path").isin(*links) if links else F.lit(False)
+    if links is None:
+        files = files.withColumn("linked", F.lit(False))
+    else:
+        files = files.join(links.select("repo", "path", F.lit(True).alias("linked")).distinct(), ["repo", "path"], "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
     lang = screening.language_of(F.col("path"))
     large = F.col("length") > most_bytes
-    early = files.select("repo", "path", F.when(excluded, "excluded_path").when(lang.isNull(), None).when(linked, "symlink").when(large, "oversized").alias("rule"), F.lit(None).cast("int").alias("line")).filter("rule is not null")
-    good = files.filter(~excluded & lang.isNotNull() & ~linked & ~large & F.is_valid_utf8(content) & ~F.contains(content, F.lit("\0")) & ~screening.generated(F.col("path"), content))
+    early = files.select("repo", "path", F.when(excluded, "excluded_path").when(lang.isNull(), None).when(F.col("linked"), "symlink").when(large, "oversized").alias("rule"), F.lit(None).cast("int").alias("line")).filter("rule is not null")
+    good = files.filter(~excluded & lang.isNotNull() & ~F.col("linked") & ~large & F.is_valid_utf8(content) & ~F.contains(content, F.lit("\0")) & ~screening.generated(F.col("path"), content))
     good = good.select("repo", "path", lang.alias("code_lang"), tx.digest(content).alias("content_hash"), content.alias("content"))
     unsafe = screening.findings(good, ["repo", "path"], "content")
     accepted = good.filter(screening.safe(F.col("content")))
     return accepted, early.unionByName(unsafe.withColumn("line", F.col("line").cast("int")))
 
 
+def links_of(spark: SparkSession, repository: str) -> DataFrame:
+    """(repo, path) of the listed files that are symbolic links or lie behind one."""
+    name = os.path.basename(repository.rstrip("/"))
+    return spark.createDataFrame([(name, p) for p in listed_files(repository) if is_link(repository, p)], "repo string, path string")
+
+
+def scan_repository(spark: SparkSession, repository: str, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(accepted, report) of the files that Git lists in a repository; accepted ones with the head's commit."""
+    name = os.path.basename(repository.rstrip("/"))
+    listed = spark.createDataFrame([(p,) for p in listed_files(repository)], "path string")
+    files = read_folder(spark, repository, name).join(listed, "path", "left_semi")
+    accepted, report = scan(files, most_bytes, links_of(spark, repository))
+    head = git(repository, "rev-parse", "HEAD").strip()
+    return accepted.withColumn("commit_hash", F.lit(head)), report
+
+
 def first_files(accepted: DataFrame, limit: int) -> DataFrame:
     """The first `limit` files by repository and path."""
     if limit < 1:
@@ -167,12 +218,34 @@ def select_sources(catalog: DataFrame, titles: list[str] | None = None, priority
 
 
 def fetch_status(catalog: DataFrame, pages: DataFrame) -> DataFrame:
-    """(title, status) of each source: `cached` if a page for just this address is there whole, else `failed`."""
-    whole = tx.digest(F.col("html")) == F.col("html_hash")
-    have = pages.filter(whole).select("title", "requested_url").distinct()
-    return catalog.join(have, (catalog["title"] == have["title"]) & (catalog["url"] == have["requested_url"]), "left").select(catalog["title"], F.when(have["title"].isNotNull(), "cached").otherwise("failed").alias("status"))
+    """(title, status) of each source: `cached` if a page for just this address is there whole, by its hash; `damaged`
+    if only pages that differ from their hash are; else `failed`."""
+    whole = F.coalesce(tx.digest(F.col("html")) == F.col("html_hash"), F.lit(False))
+    have = pages.groupBy(F.col("title").alias("_title"), F.col("requested_url").alias("_url")).agg(F.max(whole).alias("_whole"))
+    status = F.when(F.col("_whole"), "cached").when(F.col("_whole").isNotNull(), "damaged").otherwise("failed")
+    return catalog.join(have, (F.col("title") == F.col("_title")) & (F.col("url") == F.col("_url")), "left").select("title", status.alias("status"))
+
 
+def status_counts(statuses: DataFrame) -> DataFrame:
+    """(sources, cached, damaged, failed): how many sources there are, and of which status."""
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in ("cached", "damaged", "failed")]
+    return statuses.agg(F.count("*").alias("sources"), *counts)
 
-def bytes_of(column: Column) -> Column:
-    """The size of a text in UTF-8."""
-    return F.octet_length(column)
+
+def fetch(url: str, opener: Callable[[str], tuple[int, dict[str, str], bytes]], most_bytes: int = MOST_PAGE_BYTES, wait: Callable[[float], None] = time.sleep) -> str:
+    """The text at an address, by an `opener` that gives (status, headers, body): ATTEMPTS times at most.
+
+    Statuses 429 and from 500 on are tried again, after what Retry-After says, up to 30 seconds, or twice as long each
+    time. Another status, a body over `most_bytes` and one that is not UTF-8 are errors.
+    """
+    for attempt in range(ATTEMPTS):
+        status, headers, body = opener(url)
+        if status == 200:
+            if len(body) > most_bytes:
+                raise ValueError(f"{url} has more than {most_bytes} bytes")
+            return body.decode("utf-8")
+        if status != 429 and status < 500 or attempt == ATTEMPTS - 1:
+            break
+        after = {k.lower(): v for k, v in headers.items()}.get("retry-after", "")
+        wait(min(30.0, float(after)) if after.isdigit() else float(2**attempt))
+    raise OSError(f"{url} gave status {status}")

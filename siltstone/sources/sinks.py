@@ -4,23 +4,34 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import digest
+from siltstone.runtime import cut, drop, replace_file
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """JSON lines under `path`, nulls kept. The new folder takes the old one's place once it is complete."""
+    """JSON lines, nulls kept, as a version under `path`; the file `path`/CURRENT names the version that counts.
+
+    The version is written whole before CURRENT is replaced by a rename, so at every moment, and after a crash at any
+    moment, `json_lines_folder` gives either the old version or the new one. Older versions are removed afterwards.
+    """
     spark = df.sparkSession
     jpath = spark._jvm.org.apache.hadoop.fs.Path
-    staging = f"{path}.{uuid.uuid4().hex}"
-    df.write.option("ignoreNullFields", "false").json(staging)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.option("ignoreNullFields", "false").json(f"{path}/{version}")
+    replace_file(spark, f"{path}/CURRENT", version)
     fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(jpath(path)):
-        fs.delete(jpath(path), True)
-    if not fs.rename(jpath(staging), jpath(path)):
-        raise OSError(f"{staging} could not be renamed")
+    for status in fs.listStatus(jpath(path)):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name != version:
+            fs.delete(status.getPath(), True)
+
+
+def json_lines_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the version that counts, to be read as JSON lines."""
+    return f"{path}/{spark.read.text(f'{path}/CURRENT').first()['value']}"
 
 
 def messages_only(examples: DataFrame) -> DataFrame:
@@ -29,13 +40,21 @@ def messages_only(examples: DataFrame) -> DataFrame:
 
 
 def export_dataset(examples: DataFrame, splits: DataFrame, folder: str) -> None:
-    """Messages of each split, provenance with the split of each row, the split of each file, and counts by task."""
-    rows = examples.join(splits, "file_key")
-    for name in ("train", "validation"):
-        write_json_lines(messages_only(rows.filter(F.col("split") == name)), f"{folder}/{name}")
+    """Messages of each split there is, provenance with the split of each row, the split of each file, counts by task.
+
+    A file without a split is an error, and nothing is written then.
+    """
+    lost = examples.join(splits, "file_key", "left_anti").select("file_key").limit(1).collect()
+    if lost:
+        raise ValueError(f"{lost[0]['file_key']} has no split")
+    rows = cut(examples.join(splits, "file_key"), "examples")
+    # one row for each split
+    for row in splits.select("split").distinct().orderBy("split").collect():
+        write_json_lines(messages_only(rows.filter(F.col("split") == row["split"])), f"{folder}/{row['split']}")
     write_json_lines(rows.drop("messages"), f"{folder}/provenance")
     write_json_lines(splits, f"{folder}/split_manifest")
     write_json_lines(rows.groupBy("task", "split").agg(F.count("*").alias("n")), f"{folder}/report")
+    drop(rows)
 
 
 def content_hash(df: DataFrame) -> DataFrame:

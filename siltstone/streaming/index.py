@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import fcntl
 import json
-import os
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from siltstone.functions import screening
 from siltstone.operators import chunking, golang, retrieval
 from siltstone.operators.incremental import same_commit
-from siltstone.runtime import cut, replace_file
+from siltstone.runtime import Versions, create_file, cut, drop
 
 #: What an index's contents hang on; another index version must be built anew.
 VERSION = f"hashed-{retrieval.BUCKETS}/{chunking.VERSION}/{screening.VERSION}"
-LOCK_SECONDS = 10
+LOCK_SECONDS, LEASE_SECONDS = 10, 3600
 
 
 def snapshot_diff(files: DataFrame, known: DataFrame) -> DataFrame:
@@ -35,13 +35,24 @@ def snapshot_diff(files: DataFrame, known: DataFrame) -> DataFrame:
     return a.join(b, "file_key", "full_outer").select("file_key", state.alias("state"))
 
 
-def parse(files: DataFrame, on_error: str = "raise") -> DataFrame:
+#: Makes chunks (the key columns, symbol, symbol_type, start_line, end_line, content, facts) of files (key, content).
+Parser = Callable[[DataFrame, list[str], str], DataFrame]
+
+#: Parsers by language; what has none of its own is cut by sections.
+PARSERS: dict[str, Parser] = {"go": golang.go_chunks}
+
+
+def parse(files: DataFrame, on_error: str = "raise", parsers: dict[str, Parser] | None = None) -> DataFrame:
     """Chunks (id, file_key, repo, path, code_lang, symbol, symbol_type, start_line, end_line, commit_hash, content,
-    facts) of files (repo, path, code_lang, commit_hash, content): Go by declarations, all else by sections."""
+    facts) of files (repo, path, code_lang, commit_hash, content): by the parsers of their languages, all else by
+    sections. `on_error` goes to the parser of Go."""
     key = ["repo", "path", "code_lang", "commit_hash"]
-    go = golang.go_chunks(files.filter("code_lang = 'go'"), key, "content", on_error)
-    other = chunking.sections(files.filter("code_lang <> 'go'").withColumn("kind", F.col("code_lang")), key, "content", "kind")
-    rows = go.unionByName(other, allowMissingColumns=True)
+    known = PARSERS | (parsers or {})
+    other = files.filter(~F.coalesce(F.col("code_lang").isin(*known), F.lit(False)))
+    rows = chunking.sections(other.withColumn("kind", F.col("code_lang")), key, "content", "kind").withColumn("facts", F.lit(None).cast(golang.FACTS))
+    for name, parser in known.items():
+        own = files.filter(F.col("code_lang") == name)
+        rows = rows.unionByName(parser(own, key, "content", on_error) if parser is golang.go_chunks else parser(own, key, "content"), allowMissingColumns=True)
     return rows.select(chunking.chunk_id("repo", "path", "start_line", "symbol").alias("id"), F.concat("repo", F.lit("/"), "path").alias("file_key"), *key, "symbol", "symbol_type", "start_line", "end_line", "content", "facts")
 
 
@@ -59,40 +70,49 @@ class IncompatibleIndex(RuntimeError):
     """The index was made by another version."""
 
 
-class Index:
-    """An index under `folder`: versions, of which the file CURRENT names the one that counts.
+class Index(Versions):
+    """An index under `folder`, in versions that count whole or not at all.
 
-    A writer holds a lock on the driver's machine; readers need none, for a version never changes once it counts.
+    A writer holds the file LOCK in the folder, wherever it runs, and a second one waits for LOCK_SECONDS and fails. The
+    lock spares work; what keeps versions whole is that only one writer can publish after a version. So a lock older
+    than LEASE_SECONDS, of a writer that died, may be broken. Readers (`write=False`) need none, for a version never
+    changes once it counts.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, lock_folder: str | None = None):
-        self.spark, self.folder = spark, folder.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
-        lock = os.path.join(lock_folder or "/tmp", f"siltstone-{uuid.uuid5(uuid.NAMESPACE_URL, self.folder).hex}.lock")
-        self._lock = open(lock, "w")
-        try:
-            fcntl.flock(self._lock, fcntl.LOCK_EX | fcntl.LOCK_NB)
-        except BlockingIOError:
-            self._lock.close()
-            raise RuntimeError("another writer holds the index") from None
+    def __init__(self, spark: SparkSession, folder: str, write: bool = True, wait: float = LOCK_SECONDS):
+        super().__init__(spark, folder)
+        self._owner: str | None = None
+        if write:
+            self._lock(wait)
         now = self.current()
         if now and now["made_by"] != VERSION:
             self.close()
             raise IncompatibleIndex(f"the index was made by {now['made_by']}, this is {VERSION}")
 
-    def close(self) -> None:
-        self._lock.close()
-
-    def current(self) -> dict | None:
-        """{"version", "made_by"} or None."""
-        if not self._fs.exists(self._path(f"{self.folder}/CURRENT")):
+    def _lock(self, wait: float) -> None:
+        path, owner, until = f"{self.folder}/LOCK", uuid.uuid4().hex, time.time() + wait
+        while not create_file(self.spark, path, json.dumps({"owner": owner, "since": time.time()})):
+            held = self._held()
+            if held and time.time() - held["since"] > LEASE_SECONDS:
+                self._fs.delete(self._jpath(path), False)
+            elif time.time() > until:
+                raise RuntimeError("another writer holds the index")
+            else:
+                time.sleep(min(0.2, wait))
+        self._owner = owner
+
+    def _held(self) -> dict | None:
+        try:
+            return json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.folder}/LOCK").collect()))
+        except Exception:  # noqa: BLE001 - it was given back meanwhile
             return None
-        return json.loads(self.spark.read.text(f"{self.folder}/CURRENT").first()["value"])
 
-    def read(self, part: str) -> DataFrame:
-        """The `files`, `chunks` or `vectors` that count."""
-        return self.spark.read.parquet(f"{self.folder}/{self.current()['version']}/{part}")
+    def close(self) -> None:
+        """Give the lock back, if it is still held."""
+        held = self._held() if self._owner else None
+        if held and held["owner"] == self._owner:
+            self._fs.delete(self._jpath(f"{self.folder}/LOCK"), False)
+        self._owner = None
 
     def update(self, files: DataFrame, prune: bool = True) -> Update:
         """Take in files (repo, path, code_lang, content_hash, commit_hash, content).
@@ -103,6 +123,8 @@ class Index:
         """
         keyed = files.withColumn("file_key", F.concat("repo", F.lit("/"), "path"))
         state = keyed.select("file_key", F.col("content_hash").alias("hash"), "commit_hash")
+        if self._owner is None:
+            raise RuntimeError("the index was opened to read")
         now = self.current()
         known = self.read("files") if now else state.limit(0)
         diff = cut(snapshot_diff(state, known), "diff")
@@ -112,26 +134,31 @@ class Index:
         if todo.filter(~screening.safe(F.col("content"))).limit(1).count():
             raise ValueError("a file is unsafe; nothing was indexed")
         made = cut(parse(todo), "chunks")
-        vectors = cut(retrieval.hashed_vectors(made.withColumn("body", F.concat_ws("\n", F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol"), "content")), "id", "body"), "vectors")
+        fresh = {name: cut(df, name) for name, df in retrieval.corpus_tables(made).items()}
         if now:
             gone = diff.filter("state = 'changed'" + (" or state = 'deleted'" if prune else "")).select("file_key")
-            kept = self.read("chunks").join(gone, "file_key", "left_anti")
-            fresh = keyed.join(diff.filter("state = 'recommitted'"), "file_key", "left_semi").select("file_key", F.col("commit_hash").alias("_new"))
-            kept = kept.join(fresh, "file_key", "left").withColumn("commit_hash", F.coalesce("_new", "commit_hash")).select(made.columns)
-            old_vectors = self.read("vectors").join(kept.select("id"), "id", "left_semi")
+            old = self.read("chunks")
+            kept = old.join(gone, "file_key", "left_anti")
+            lost = old.join(gone, "file_key", "left_semi").select("id")
+            renewed = keyed.join(diff.filter("state = 'recommitted'"), "file_key", "left_semi").select("file_key", F.col("commit_hash").alias("_new"))
+            kept = kept.join(renewed, "file_key", "left").withColumn("commit_hash", F.coalesce("_new", "commit_hash")).select(made.columns)
             rest = known.join(diff.filter("state = 'deleted'"), "file_key", "left_semi") if not prune else known.limit(0)
-            parts = {"files": state.unionByName(rest.select("file_key", "hash", "commit_hash")), "chunks": kept.unionByName(made), "vectors": old_vectors.unionByName(vectors)}
+            parts = {"files": state.unionByName(rest.select("file_key", "hash", "commit_hash")), "chunks": kept.unionByName(made)}
+            # what is searched goes by chunk: of unchanged files nothing is made anew
+            parts |= {name: self.read(name).join(lost, "id", "left_anti").unionByName(df) for name, df in fresh.items()}
         else:
-            parts = {"files": state, "chunks": made, "vectors": vectors}
-        version = f"v-{uuid.uuid4().hex}"
-        for name, df in parts.items():
-            df.write.parquet(f"{self.folder}/{version}/{name}")
-        replace_file(self.spark, f"{self.folder}/CURRENT", json.dumps({"version": version, "made_by": VERSION}))
-        return Update(counts.get("added", 0) + counts.get("changed", 0), counts.get("unchanged", 0) + counts.get("recommitted", 0), counts.get("deleted", 0) if prune else 0, made.count())
+            parts = {"files": state, "chunks": made, **fresh}
+        # a search for few terms or of one symbol reads few row groups
+        parts["postings"] = parts["postings"].repartitionByRange("term").sortWithinPartitions("term")
+        parts["chunks"] = parts["chunks"].repartitionByRange("file_key").sortWithinPartitions("file_key")
+        self.publish(now, parts, {"made_by": VERSION})
+        embedded = made.count()
+        drop(diff, made, *fresh.values())
+        return Update(counts.get("added", 0) + counts.get("changed", 0), counts.get("unchanged", 0) + counts.get("recommitted", 0), counts.get("deleted", 0) if prune else 0, embedded)
 
     def search(self, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
-        """The best `k` chunks of each query; see `retrieval.search`."""
-        return retrieval.search(self.read("chunks"), queries, k, mode)
+        """The best `k` chunks of each query, from what is kept; see `retrieval.search_tables`."""
+        return retrieval.search_tables({name: self.read(name) for name in ("documents", "postings", "vectors")}, queries, k, mode)
 
     def find_symbol(self, symbol: str) -> DataFrame:
         return retrieval.find_symbol(self.read("chunks"), symbol)
