@@ -10,6 +10,8 @@ Scenarios, facts and evidence are tables that a project brings; nothing of their
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,12 +96,12 @@ def gaps(scenarios: DataFrame, facts: DataFrame, records: DataFrame) -> DataFram
     return rows.select("scenario_id", F.when(F.col("known").isNull(), "no_facts").when(F.col("linked").isNull(), "no_evidence").alias("reason")).filter("reason is not null")
 
 
-def record_errors(records: DataFrame, scenarios: DataFrame, facts: DataFrame, found: DataFrame) -> DataFrame:
+def record_errors(records: DataFrame, scenarios: DataFrame, facts: DataFrame, found: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(record_id, errors): what is wrong with each record, none an empty list.
 
     A record is checked against its fact, its scenario and its evidence as they are now; what was made by
     `build_records` from them has no errors. Records too short for anything else, or of unknown facts, are not checked
-    further.
+    further. Columns of the records named in `keep` come out too.
     """
     short = lambda c: F.length(tx.collapse(F.coalesce(c, F.lit("")))) < FEWEST
     # a record's own columns are told from those it is checked against
@@ -138,7 +140,7 @@ def record_errors(records: DataFrame, scenarios: DataFrame, facts: DataFrame, fo
     last = F.array_compact(F.array(when(~again, "unreviewed_or_unsupported_generated_text"), when(again & ~provenance, "generated_provenance_mismatch")))
     told = tx.let(first, lambda e: F.when(F.size(e) > 0, e).otherwise(last))
     found_errors = F.when(trivial, F.array(F.lit("missing_or_trivial_fields"))).when(~fact, F.array_compact(F.array(sensitive, F.lit("missing_source")))).otherwise(told)
-    return rows.select(F.col("r_record_id").alias("record_id"), found_errors.alias("errors"))
+    return rows.select(*[F.col(f"r_{c}").alias(c) for c in keep], F.col("r_record_id").alias("record_id"), found_errors.alias("errors"))
 
 
 def dataset_errors(split: DataFrame, errors: DataFrame, keys: list[str], least: float = 0.5) -> DataFrame:

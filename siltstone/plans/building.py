@@ -17,7 +17,7 @@ from siltstone.operators.knowledge import Rule
 from siltstone.plans.corpus import _EXCLUDED, _LANG, _WS, _any, _collapse, _for_re2, _re2, findings_sql
 from siltstone.plans.datasets import _FACT_WORDS, _UNIQUE, _unique_chunks
 from siltstone.plans.structure import _lines
-from siltstone.runtime import table
+from siltstone.runtime import cut, table
 from siltstone.sources import files as sources
 from siltstone.sources import html
 
@@ -93,7 +93,8 @@ def least_used(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    asked, told, found = scenarios(spark, d), facts(spark, d), evidence(spark, d)
+    # facts and evidence are read several times: they are screened once
+    asked, told, found = scenarios(spark, d), cut(facts(spark, d), "facts"), cut(evidence(spark, d), "evidence")
     return asked, told, found, records.build_records(asked, told, found, 2)
 
 
@@ -139,16 +140,9 @@ def record_validation(spark: SparkSession, d: str) -> DataFrame:
             if column == c:
                 value = F.when(F.col("change") == name, F.expr(becomes)).otherwise(value)
         out.append(value.alias(c))
-    # a changed record keeps its own name, with the change behind it
-    changed = rows.select(F.concat_ws("|", "change", "record_id").alias("name"), *out)
-    told_wrong = []
-    for name in CHANGES:
-        some = changed.filter(F.startswith("name", F.lit(name + "|")))
-        told_wrong.append(records.record_errors(some.drop("name"), asked, told, found).select(F.lit(name).alias("change"), "record_id", F.array_join("errors", ",").alias("errors")))
-    result = told_wrong[0]
-    for more in told_wrong[1:]:
-        result = result.unionByName(more)
-    return result.groupBy("change", "errors").agg(F.count("*").alias("n"))
+    changed = rows.select("change", *out)
+    wrong = records.record_errors(changed, asked, told, found, ["change"])
+    return wrong.groupBy("change", F.array_join("errors", ",").alias("errors")).agg(F.count("*").alias("n"))
 
 
 def process_report(spark: SparkSession, d: str) -> DataFrame:

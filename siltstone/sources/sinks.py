@@ -12,16 +12,16 @@ from siltstone.runtime import cut, drop, replace_file
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """JSON lines, nulls kept, as a version under `path`; the file `path`/CURRENT names the version that counts.
+    """JSON lines, nulls kept, as a version under `path`; the file `path`/_CURRENT names the version that counts.
 
-    The version is written whole before CURRENT is replaced by a rename, so at every moment, and after a crash at any
+    The version is written whole before _CURRENT is replaced by a rename, so at every moment, and after a crash at any
     moment, `json_lines_folder` gives either the old version or the new one. Older versions are removed afterwards.
     """
     spark = df.sparkSession
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     version = f"v-{uuid.uuid4().hex}"
     df.write.option("ignoreNullFields", "false").json(f"{path}/{version}")
-    replace_file(spark, f"{path}/CURRENT", version)
+    replace_file(spark, f"{path}/_CURRENT", version)
     fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for status in fs.listStatus(jpath(path)):
         name = status.getPath().getName()
@@ -31,7 +31,7 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 def json_lines_folder(spark: SparkSession, path: str) -> str:
     """The folder of the version that counts, to be read as JSON lines."""
-    return f"{path}/{spark.read.text(f'{path}/CURRENT').first()['value']}"
+    return f"{path}/{spark.read.text(f'{path}/_CURRENT').first()['value']}"
 
 
 def messages_only(examples: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import chunking, components, dedup, examples, golang, retrieval, splits
-from siltstone.plans import datasets
+from siltstone.plans import building
 from siltstone.sources import files as sources
 from siltstone.sources import sinks
 from siltstone.sources.html import page_blocks
@@ -133,7 +133,7 @@ def test_argument_guards(spark):
 
 
 def test_stale_review_raises(spark):
-    rows = spark.createDataFrame([("1", "r", "h", True, "ann", [("user", "a b"), ("assistant", "c d")])], datasets._REVIEW)
+    rows = spark.createDataFrame([("1", "r", "h", True, "ann", [("user", "a b"), ("assistant", "c d")])], building.REVIEW)
     live = spark.createDataFrame([("r", "other")], "reference string, content_hash string")
     with pytest.raises(ValueError):
         examples.import_reviewed(rows, rows.limit(0), live)
@@ -156,7 +156,8 @@ def test_json_lines_round_trip_replaces_the_old(spark, tmp_path):
     df = spark.createDataFrame([(1, "ä"), (2, None)], "a int, b string")
     for _ in range(2):
         sinks.write_json_lines(df, path)
-    back = sources.read_json_lines(spark, path, "a int, b string")
+    back = sources.read_json_lines(spark, sinks.json_lines_folder(spark, path), "a int, b string")
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("v-")]) == 1
     assert sorted(map(tuple, back.collect())) == [(1, "ä"), (2, None)]
     same = sinks.content_hash(df.orderBy(F.desc("a"))).first()
     assert same == sinks.content_hash(back).first() and same["rows"] == 2
