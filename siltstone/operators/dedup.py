@@ -15,7 +15,7 @@ from siltstone.runtime import cut, drop
 FOLD_LINKS = 200_000
 COSINE_DIGITS = 4
 #: Parts that a vector's terms are hashed into for a bound of its products.
-PARTS = 16
+PARTS = 64
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

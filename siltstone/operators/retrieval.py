@@ -223,9 +223,12 @@ def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
     one = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
     body = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content")
     reference = F.concat("repo", F.lit("/"), "path", F.lit(":"), F.col("start_line"), F.lit("-"), F.col("end_line"))
-    docs = one.select("id", "path", reference.alias("reference"), F.size(tx.tokens(body)).alias("dl"), body.alias("body"))
-    kept = postings(docs, "id", "body")
-    return {"documents": docs.drop("body"), "postings": kept, "vectors": hashed_of(kept, "id")}
+    docs = one.select("id", "path", reference.alias("reference"), body.alias("body"))
+    kept = cut(postings(docs, "id", "body"), "postings")
+    # a document's length is what its postings add up to
+    sizes = kept.groupBy("id").agg(F.sum("tf").cast("int").alias("dl"))
+    told = cut(docs.drop("body").join(sizes, "id", "left").select("id", "path", "reference", F.coalesce("dl", F.lit(0)).alias("dl")), "documents")
+    return {"documents": told, "postings": kept, "vectors": hashed_of(kept, "id")}
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import screening, text
 from siltstone.functions import text as tx
-from siltstone.runtime import table
+from siltstone.runtime import spread, table
 
 KEY = ["repo", "path", "commit_hash"]
 
@@ -32,12 +32,12 @@ def hash_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rule_findings(spark: SparkSession, d: str) -> DataFrame:
-    counts = table(spark, d, "source_files").select(F.explode(screening.rule_counts(F.col("content"))).alias("rule", "n"))
+    counts = spread(table(spark, d, "source_files").select(*KEY, "content")).select(F.explode(screening.rule_counts(F.col("content"))).alias("rule", "n"))
     return counts.filter("n > 0").groupBy("rule").agg(F.sum("n").alias("matches"), F.count("*").alias("files"))
 
 
 def findings_lines(spark: SparkSession, d: str) -> DataFrame:
-    found = screening.findings(table(spark, d, "source_files").filter("content is not null"), KEY, "content")
+    found = screening.findings(spread(table(spark, d, "source_files").select(*KEY, "content")).filter("content is not null"), KEY, "content")
     return found.groupBy(*KEY, "rule").agg(F.count("*").alias("n"), F.min("line").alias("first_line"), F.max("line").alias("last_line"))
 
 
@@ -52,12 +52,12 @@ def screen_files(spark: SparkSession, d: str) -> DataFrame:
         .when(~screening.safe(c), "secret")
         .otherwise("accepted")
     )
-    return table(spark, d, "source_files").filter("content is not null").groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
+    return spread(table(spark, d, "source_files").select(*KEY, "content")).filter("content is not null").groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
 
 
 def safe_documents(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "documents").filter("text is not null").select("doc_id", screening.safe(t).alias("safe"), screening.safe_prose(t).alias("safe_prose"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).filter("text is not null").select("doc_id", screening.safe(t).alias("safe"), screening.safe_prose(t).alias("safe_prose"))
 
 
 def path_checks(spark: SparkSession, d: str) -> DataFrame:

@@ -37,6 +37,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan over as many tasks as there are cores, if it would have fewer; for costly work on few files.
+
+    A table of many files is left as it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir; only where that is unset, a folder of this machine.
 
@@ -121,6 +130,19 @@ def replace_file(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
 
 
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, read by the driver; None if there is no such file."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def create_file(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file only if there is none of its name; whether it was written. Of several writers, one succeeds.
 
@@ -182,8 +204,7 @@ class Versions:
         numbers = [n for n in names if n.endswith(".json") and n[:-5].isdigit()]
         if not numbers:
             return None
-        rows = self.spark.read.text(f"{self.folder}/commits/{max(numbers)}").collect()
-        return json.loads("".join(r["value"] for r in rows))
+        return json.loads(read_file(self.spark, f"{self.folder}/commits/{max(numbers)}"))
 
     def read(self, part: str) -> DataFrame:
         """A table of the version that counts."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import digest
-from siltstone.runtime import cut, drop, replace_file
+from siltstone.runtime import cut, drop, read_file, replace_file
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -31,7 +31,10 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 def json_lines_folder(spark: SparkSession, path: str) -> str:
     """The folder of the version that counts, to be read as JSON lines."""
-    return f"{path}/{spark.read.text(f'{path}/_CURRENT').first()['value']}"
+    version = read_file(spark, f"{path}/_CURRENT")
+    if version is None:
+        raise FileNotFoundError(f"{path} has no version")
+    return f"{path}/{version}"
 
 
 def messages_only(examples: DataFrame) -> DataFrame:

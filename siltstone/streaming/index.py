@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import screening
 from siltstone.operators import chunking, golang, retrieval
 from siltstone.operators.incremental import same_commit
-from siltstone.runtime import Versions, create_file, cut, drop
+from siltstone.runtime import Versions, create_file, cut, drop, read_file
 
 #: What an index's contents hang on; another index version must be built anew.
 VERSION = f"hashed-{retrieval.BUCKETS}/{chunking.VERSION}/{screening.VERSION}"
@@ -103,9 +103,10 @@ class Index(Versions):
 
     def _held(self) -> dict | None:
         try:
-            return json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.folder}/LOCK").collect()))
+            held = read_file(self.spark, f"{self.folder}/LOCK")
         except Exception:  # noqa: BLE001 - it was given back meanwhile
             return None
+        return json.loads(held) if held else None
 
     def close(self) -> None:
         """Give the lock back, if it is still held."""
@@ -134,7 +135,7 @@ class Index(Versions):
         if todo.filter(~screening.safe(F.col("content"))).limit(1).count():
             raise ValueError("a file is unsafe; nothing was indexed")
         made = cut(parse(todo), "chunks")
-        fresh = {name: cut(df, name) for name, df in retrieval.corpus_tables(made).items()}
+        fresh = retrieval.corpus_tables(made)
         if now:
             gone = diff.filter("state = 'changed'" + (" or state = 'deleted'" if prune else "")).select("file_key")
             old = self.read("chunks")
@@ -153,7 +154,7 @@ class Index(Versions):
         parts["chunks"] = parts["chunks"].repartitionByRange("file_key").sortWithinPartitions("file_key")
         self.publish(now, parts, {"made_by": VERSION})
         embedded = made.count()
-        drop(diff, made, *fresh.values())
+        drop(diff, made, fresh["documents"], fresh["postings"])
         return Update(counts.get("added", 0) + counts.get("changed", 0), counts.get("unchanged", 0) + counts.get("recommitted", 0), counts.get("deleted", 0) if prune else 0, embedded)
 
     def search(self, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
