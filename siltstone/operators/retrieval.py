@@ -7,7 +7,7 @@ descending, id ascending) of scores rounded to SCORE_DIGITS, so that they do not
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -143,16 +143,24 @@ def sparse_cosine(vectors: DataFrame, key: str, asked: DataFrame) -> DataFrame:
     return both.groupBy("query_id", key).agg(F.round(F.sum(F.col("value") * F.col("q")), SCORE_DIGITS).alias("score")).filter("score > 0")
 
 
+def pack_vectors(vectors: DataFrame, key: str) -> DataFrame:
+    """(key, b, v): sparse vectors (key, bucket, value) as a row each."""
+    return vectors.groupBy(key).agg(F.collect_list("bucket").alias("b"), F.collect_list("value").alias("v"))
+
+
 def nearest(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
     """(query_id, key, score): `sparse_cosine` of hashed vectors for many queries, of each at least the best `k`."""
-    packed = lambda df, id_: df.groupBy(id_).agg(F.collect_list("bucket").alias("b"), F.collect_list("value").alias("v"))
+    return nearest_packed(cut(pack_vectors(vectors, key), "packed"), key, pack_vectors(asked, "query_id"), k)
+
 
+def nearest_packed(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
+    """`nearest` of packed vectors (key, b, v) that are stored."""
     def matrix(rows: pd.DataFrame) -> np.ndarray:
         out = np.zeros((len(rows), BUCKETS))
         out[np.repeat(np.arange(len(rows)), rows["b"].map(len)), np.concatenate(rows["b"].tolist())] = np.concatenate(rows["v"].tolist())
         return out
 
-    return _in_blocks(packed(vectors, key), key, packed(asked, "query_id"), k, matrix, True)
+    return _products(vectors, key, asked, k, matrix, True)
 
 
 def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame, k: int) -> DataFrame:
@@ -165,22 +173,21 @@ def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame, k:
         return out / np.linalg.norm(out, axis=1, keepdims=True)
 
     some = lambda df, id_, v: df.select(id_, F.col(v).alias("v")).filter(F.col("v").isNotNull() & F.exists("v", lambda x: x != 0))
-    return _in_blocks(some(vectors, key, vector), key, some(asked, "query_id", "vector"), k, matrix, False)
+    return _products(cut(some(vectors, key, vector), "packed"), key, some(asked, "query_id", "vector"), k, matrix, False)
 
 
-def _in_blocks(docs: DataFrame, key: str, sought: DataFrame, k: int, matrix: Callable[[pd.DataFrame], np.ndarray], positive: bool) -> DataFrame:
-    """(query_id, key, score) of the products of all rows' vectors, of each query at least the best `k` in a block.
+def _products(docs: DataFrame, key: str, sought: DataFrame, k: int, matrix: Callable[[pd.DataFrame], np.ndarray], positive: bool) -> DataFrame:
+    """(query_id, key, score) of the products of all rows' vectors, of each query at least the best `k` of each part.
 
-    Queries and documents are laid in blocks, and each pair of blocks is one product of matrices, of which each query
-    keeps its best `k` and what ties with the last of them; `top` then has all it needs. The blocks' numbers follow from
-    counts, so that no block grows with the tables.
+    Up to QUERY_BLOCK queries go to where the stored `docs` are, and nothing else is moved but their best. More queries
+    are laid in blocks, as are the documents; each pair of blocks is one product of matrices. The blocks' numbers follow
+    from counts, so that none grows with the tables. Of each part a query keeps its best `k` and what ties with the last
+    of them; `top` then has all it needs.
     """
-    docs, sought = cut(docs, "packed"), cut(sought, "asked")
-    across, down = (-(-df.count() // n) or 1 for df, n in ((docs, DOCUMENT_BLOCK), (sought, QUERY_BLOCK)))
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = sought.select("*", block("query_id", down).alias("y"), numbers(across).alias("x"))
-    right = docs.select("*", block(key, across).alias("x"), numbers(down).alias("y"))
+    sought = cut(sought, "asked")
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"query_id {kind(sought, 'query_id')}, {key} {kind(docs, key)}, score double"
+    ship(docs.sparkSession)
 
     def best(queries: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or found.empty:
@@ -191,9 +198,22 @@ def _in_blocks(docs: DataFrame, key: str, sought: DataFrame, k: int, matrix: Cal
         i, j = np.nonzero((score >= last) & ((score > 0) | (not positive)))
         return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[i], key: found[key].to_numpy()[j], "score": score[i, j]})
 
-    kind = lambda df, c: df.schema[c].dataType.simpleString()
-    ship(docs.sparkSession)
-    return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(best, f"query_id {kind(sought, 'query_id')}, {key} {kind(docs, key)}, score double")
+    queries = sought.count()
+    if queries <= QUERY_BLOCK:
+        sent = docs.sparkSession.sparkContext.broadcast(sought.toPandas())
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, len(batch), DOCUMENT_BLOCK):
+                    yield best(sent.value, batch.iloc[at : at + DOCUMENT_BLOCK])
+
+        return docs.mapInPandas(run, schema)
+    across, down = -(-docs.count() // DOCUMENT_BLOCK) or 1, -(-queries // QUERY_BLOCK)
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = sought.select("*", block("query_id", down).alias("y"), numbers(across).alias("x"))
+    right = docs.select("*", block(key, across).alias("x"), numbers(down).alias("y"))
+    return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(best, schema)
 
 
 def top(scores: DataFrame, key: str, k: int) -> DataFrame:
@@ -216,7 +236,7 @@ def fuse(rankings: list[DataFrame], key: str, k: int, weights: DataFrame | None
 
 def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
     """What searches read of a corpus: `documents` (id, path, reference, dl) of its searchable chunks, each id once,
-    `postings` (term, id, tf) and `vectors` (id, bucket, value).
+    `postings` (term, id, tf) and `vectors` (id, b, v): buckets and values.
 
     The text of a chunk is its place, its symbol and its content.
     """
@@ -228,7 +248,7 @@ def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
     # a document's length is what its postings add up to
     sizes = kept.groupBy("id").agg(F.sum("tf").cast("int").alias("dl"))
     told = cut(docs.drop("body").join(sizes, "id", "left").select("id", "path", "reference", F.coalesce("dl", F.lit(0)).alias("dl")), "documents")
-    return {"documents": told, "postings": kept, "vectors": hashed_of(kept, "id")}
+    return {"documents": told, "postings": kept, "vectors": cut(pack_vectors(hashed_of(kept, "id"), "id"), "vectors")}
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
@@ -253,7 +273,7 @@ def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mo
     if mode != "vector":
         lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, weight), "id", n)
     if mode != "lexical":
-        vector = top(sparse_cosine(kept["vectors"], "id", hashed_vectors(asked, "query_id", "query")), "id", n)
+        vector = top(nearest_packed(kept["vectors"], "id", pack_vectors(hashed_vectors(asked, "query_id", "query"), "query_id"), n), "id", n)
     if mode == "hybrid":
         ids = lexical.select("query_id", "id").unionByName(vector.select("query_id", "id")).distinct()
         weights = ids.join(kinds, "id").join(asked, "query_id").select("query_id", "id", weight.alias("weight"))

@@ -2,35 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators import retrieval
 from siltstone.plans.corpus import _tokens
 from siltstone.runtime import table
 
-QUESTIONS = [
-    (1, "retry the payment webhook after a timeout"),
-    (2, "create table for ledger balance and currency"),
-    (3, "token exchange interface of the vault"),
-    (4, "which service publishes the refund event"),
-    (5, "   "),
-]
-_QUESTIONS = "(VALUES " + ", ".join(f"({i}, '{q}')" for i, q in QUESTIONS) + ") AS q(query_id, query)"
+#: What 16 ** 8 and its powers leave over when divided by 50: an id is a number of four parts of eight digits.
+_LEFT = [36, 16, 46, 1]
 
 
-def questions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QUESTIONS, "query_id int, query string")
+def every_fiftieth(id_: Column) -> Column:
+    """Whether a chunk's id, a number of 32 hexadecimal digits, is divisible by 50."""
+    parts = [F.conv(F.substring(id_, 1 + 8 * i, 8), 16, 10).cast("long") * left for i, left in enumerate(_LEFT)]
+    return (parts[0] + parts[1] + parts[2] + parts[3]) % 50 == 0
+
+
+def questions(spark: SparkSession, d: str) -> DataFrame:
+    """(query_id, query): the content of every fiftieth searchable chunk."""
+    return chunk_texts(spark, d).filter(every_fiftieth(F.col("id"))).select(F.col("id").alias("query_id"), F.coalesce("content", F.lit("")).alias("query"))
 
 
 def chunk_texts(spark: SparkSession, d: str) -> DataFrame:
     """(id, path, body) of searchable chunks, each id once."""
     rows = retrieval.searchable(table(spark, d, "chunks")).groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content")).alias("c")).select("id", "c.*")
-    return rows.select("id", "path", F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content").alias("body"))
+    return rows.select("id", "path", "content", F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content").alias("body"))
 
 
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    asked = questions(spark)
+    asked = questions(spark, d)
     scores = retrieval.bm25(chunk_texts(spark, d), "id", "body", asked, retrieval.source_weight(F.col("path"), F.col("query")))
     return retrieval.top(scores, "id", 50)
 
@@ -71,8 +72,8 @@ def hashed_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 def hashed_vector_topk(spark: SparkSession, d: str) -> DataFrame:
     vectors = retrieval.hashed_vectors(chunk_texts(spark, d), "id", "body")
-    asked = retrieval.hashed_vectors(questions(spark), "query_id", "query")
-    return retrieval.top(retrieval.sparse_cosine(vectors, "id", asked), "id", 50)
+    asked = retrieval.hashed_vectors(questions(spark, d), "query_id", "query")
+    return retrieval.top(retrieval.nearest(vectors, "id", asked, 50), "id", 50)
 
 
 def dense_vector_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -82,11 +83,11 @@ def dense_vector_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hybrid_topk(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(table(spark, d, "chunks"), questions(spark), 10).drop("reference")
+    return retrieval.search(table(spark, d, "chunks"), questions(spark, d), 10).drop("reference")
 
 
 def vector_search(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(table(spark, d, "chunks"), questions(spark), 10, "vector")
+    return retrieval.search(table(spark, d, "chunks"), questions(spark, d), 10, "vector")
 
 
 def find_symbol(spark: SparkSession, d: str) -> DataFrame:
@@ -106,14 +107,16 @@ def recall_at_5(spark: SparkSession, d: str) -> DataFrame:
 def source_weights(spark: SparkSession, d: str) -> DataFrame:
     paths = table(spark, d, "chunks").select("path").distinct()
     weight = F.round(retrieval.source_weight(F.col("path"), F.col("query")), 2)
-    return paths.crossJoin(F.broadcast(questions(spark))).groupBy("query_id", weight.alias("weight")).agg(F.count("*").alias("n"))
+    return paths.crossJoin(questions(spark, d)).groupBy("query_id", weight.alias("weight")).agg(F.count("*").alias("n"))
 
 
 QUERIES = {f.__name__: f for f in (bm25_topk, document_search, hashed_document_search, hybrid_document_search, hashed_vectors, hashed_vector_topk, dense_vector_topk, hybrid_topk, vector_search, find_symbol, recall_at_5, source_weights)}
 
+_PARTS = " + ".join(f"('0x' || id[{1 + 8 * i}:{8 + 8 * i}])::BIGINT * {left}" for i, left in enumerate(_LEFT))
+_QUESTIONS = f"(SELECT id AS query_id, coalesce(content, '') AS query FROM docs WHERE ({_PARTS}) % 50 = 0)"
 _ASKS = " OR ".join(f"contains(lower(query), '{w}')" for w in retrieval.ARCHITECTURE)
 _WEIGHT = f"CASE WHEN NOT ({_ASKS}) THEN 1.0 " + " ".join(f"WHEN regexp_matches(lower(path), '{p}') THEN {w}" for p, w in retrieval.WEIGHTS) + " ELSE 1.0 END"
-_DOCS = "docs AS MATERIALIZED (SELECT id, path, symbol, concat_ws(' ', concat_ws('/', repo, path), symbol, content) AS body FROM (SELECT id, c.* FROM (SELECT id, min({'repo': repo, 'path': path, 'symbol': symbol, 'content': content}) AS c FROM chunks WHERE coalesce(symbol_type NOT IN ('package', 'import'), true) GROUP BY id)))"
+_DOCS = "docs AS MATERIALIZED (SELECT id, path, symbol, content, concat_ws(' ', concat_ws('/', repo, path), symbol, content) AS body FROM (SELECT id, c.* FROM (SELECT id, min({'repo': repo, 'path': path, 'symbol': symbol, 'content': content}) AS c FROM chunks WHERE coalesce(symbol_type NOT IN ('package', 'import'), true) GROUP BY id)))"
 
 
 def _bm25(docs: str, key: str, body: str, asked: str, weight: str) -> str:
@@ -145,7 +148,14 @@ dv AS MATERIALIZED {_vectors('docs', 'id', 'body')}, qv AS {_vectors('asked', 'q
 vscores AS (SELECT query_id, id, round(sum(dv.value * qv.value), 6) AS score FROM dv JOIN qv USING (bucket) GROUP BY ALL HAVING round(sum(dv.value * qv.value), 6) > 0),
 vec AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM vscores)"""
 
+_NEAR = f"{_TEXTS}, dv AS MATERIALIZED {_vectors('texts', 'doc_id', 'text')}, vscores AS (SELECT q.doc_id AS query_id, v.doc_id, round(sum(v.value * q.value), 6) AS score FROM dv v JOIN dv q USING (bucket) WHERE q.doc_id % 50 = 0 GROUP BY ALL HAVING round(sum(v.value * q.value), 6) > 0), vec AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM vscores)"
+
 SQL = {
+    "hashed_document_search": f"WITH {_NEAR} SELECT * FROM vec WHERE rank <= 10",
+    "hybrid_document_search": f"""WITH {_NEAR}, {_bm25('texts', 'doc_id', 'text', _DOC_ASKED, '1')},
+lex AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores),
+fused AS (SELECT query_id, doc_id, round(sum(1 / (60 + rank)), 9) AS score FROM (SELECT query_id, doc_id, rank FROM lex WHERE rank <= 50 UNION ALL SELECT query_id, doc_id, rank FROM vec WHERE rank <= 50) GROUP BY ALL)
+SELECT * FROM (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM fused) WHERE rank <= 10""",
     "bm25_topk": f"WITH {_DOCS}, {_bm25('docs', 'id', 'body', f'SELECT * FROM {_QUESTIONS}', _WEIGHT)} " + _TOP.format(key="id", k=50),
     "document_search": f"WITH {_TEXTS}, {_bm25('texts', 'doc_id', 'text', _DOC_ASKED, '1')} " + _TOP.format(key="doc_id", k=10),
     "hashed_vectors": f"SELECT doc_id, bucket, round(value, 6) AS value FROM {_vectors('(SELECT doc_id, text FROM documents WHERE text IS NOT NULL)', 'doc_id', 'text')}",
@@ -160,5 +170,5 @@ w AS (SELECT v.query_id, v.id, round(v.score * {_WEIGHT}, 6) AS score FROM vec v
 SELECT * FROM (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, repo || '/' || path || ':' || start_line || '-' || end_line AS reference FROM w JOIN (SELECT DISTINCT id, repo, path, start_line, end_line FROM (SELECT id, c.* FROM (SELECT id, min({{'repo': repo, 'path': path, 'symbol': symbol, 'content': content, 'start_line': start_line, 'end_line': end_line}}) AS c FROM chunks WHERE coalesce(symbol_type NOT IN ('package', 'import'), true) GROUP BY id))) USING (id)) WHERE rank <= 10""",
     "find_symbol": "SELECT id, file_key, symbol FROM (SELECT DISTINCT id, file_key, symbol FROM chunks WHERE symbol = '#!/usr/bin/env bash' OR ends_with(symbol, '.#!/usr/bin/env bash')) ORDER BY file_key, id LIMIT 100",
     "recall_at_5": f"WITH {_TEXTS}, {_bm25('texts', 'doc_id', 'text', _DOC_ASKED, '1')}, best AS ({_TOP.format(key='doc_id', k=5)}) SELECT count(*) AS cases, round(avg(CASE WHEN b.doc_id IS NULL THEN 0.0 ELSE 1.0 END), 6) AS recall FROM asked LEFT JOIN best b ON b.query_id = asked.query_id AND b.doc_id = asked.query_id",
-    "source_weights": f"SELECT query_id, round({_WEIGHT}, 2) AS weight, count(*) AS n FROM (SELECT DISTINCT path FROM chunks), {_QUESTIONS} GROUP BY ALL",
+    "source_weights": f"SELECT query_id, round({_WEIGHT}, 2)::DOUBLE AS weight, count(*) AS n FROM (SELECT DISTINCT path FROM chunks), {_QUESTIONS} GROUP BY ALL".replace("SELECT query_id, round", f"WITH {_DOCS} SELECT query_id, round", 1),
 }
