@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import bpe, credentials, keep_together, matches, near_duplicates, packing, pieces, subjects
-from siltstone.runtime import cut, table
+from siltstone.runtime import cut, spread, table
+
+
+def files(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table whose texts are costly to read: see `spread`."""
+    return spread(table(spark, d, name))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.chunk_near_duplicates(table(spark, d, "chunks")).pairs()
+    return near_duplicates.chunk_near_duplicates(files(spark, d, "chunks")).pairs()
 
 
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.chunk_near_duplicates(table(spark, d, "chunks")).groups()
+    return near_duplicates.chunk_near_duplicates(files(spark, d, "chunks")).groups()
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -52,11 +57,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return credentials.find_secrets(table(spark, d, "source_files"))
+    return credentials.find_secrets(files(spark, d, "source_files"))
 
 
 def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return credentials.redact_secrets(table(spark, d, "source_files"))
+    return credentials.redact_secrets(files(spark, d, "source_files"))
 
 
 def p5_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -65,17 +70,17 @@ def p5_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.token_ids(table(spark, d, "documents"), "doc_id")
+    return bpe.token_ids(files(spark, d, "documents"), "doc_id")
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    counts = bpe.token_counts(table(spark, d, "documents"), "doc_id")
+    counts = bpe.token_counts(files(spark, d, "documents"), "doc_id")
     return packing.pack(counts, "doc_id", "tokens", 2048)
 
 
 def p8_whole(spark: SparkSession, d: str) -> DataFrame:
     """Of each document, whether its containers hold no more than they may, and its parts all of its tokens."""
-    counts = cut(bpe.token_counts(table(spark, d, "documents"), "doc_id"), "counts")
+    counts = cut(bpe.token_counts(files(spark, d, "documents"), "doc_id"), "counts")
     packed = cut(packing.pack(counts, "doc_id", "tokens", 2048), "packed")
     fill = packed.groupBy("container").agg((F.sum("tokens") <= 2048).alias("fits"))
     told = packed.join(fill, "container").groupBy("doc_id").agg(F.min("fits").alias("fits"), F.sum("tokens").alias("n"))
@@ -87,7 +92,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_subjects(spark: SparkSession, d: str) -> DataFrame:
-    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
+    return subjects.document_subjects(files(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_pieces, p2_limits, p3_found, p3_split, p3_whole, p4_found, p5_found, p5_redacted, p5_lines, p7_ids, p8_containers, p8_whole, p9_found, p9_subjects)}
