@@ -10,15 +10,15 @@ Scenarios, facts and evidence are tables that a project brings; nothing of their
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import screening
 from siltstone.functions import text as tx
-from siltstone.operators import evaluation, knowledge
-from siltstone.operators.splits import leakage
+from siltstone.operators import components, dedup, evaluation, knowledge, retrieval, splits
+from siltstone.runtime import cut
 
 SCENARIOS = "position int, scenario_id string, family string, kind string, question string, premise string, reasoning string, test string, patterns array<string>, needs array<string>, avoids array<string>, call_ends string"
 #: Characters that every text of a record has at least.
@@ -143,6 +143,31 @@ def record_errors(records: DataFrame, scenarios: DataFrame, facts: DataFrame, fo
     return rows.select(*[F.col(f"r_{c}").alias(c) for c in keep], F.col("r_record_id").alias("record_id"), found_errors.alias("errors"))
 
 
+def deduplicate(records: DataFrame, least: float = 0.92) -> DataFrame:
+    """(record_id, kept, duplicate_of): records whose questions and premises are nearly the same, or the same.
+
+    A record with code stays rather than one without; what else decides is the lesser id.
+    """
+    if not 0.7 <= least <= 1:
+        raise ValueError("least must be from 0.7 to 1")
+    texts = cut(records.select("record_id", (~F.col("linked")).alias("bare"), tx.similarity_text(F.col("instruction"), F.col("scenario_premise"), APPLIED).alias("text")).filter("text is not null"), "texts")
+    links = dedup.close_vectors(retrieval.tf_idf(texts, "record_id", "text"), "record_id", least).unionByName(dedup.equal_texts(texts, "record_id", "text"))
+    return dedup.greedy(texts, "record_id", ["bare", "record_id"], links)
+
+
+def split_records(records: DataFrame, found: DataFrame, least: float = 0.5, shares: Mapping[str, float] | None = None) -> DataFrame:
+    """`records` with `split`: those that share a fact, a scenario, a file or a snippet are split together, and of each
+    split only so many without code are kept that those with code are at least the part `least`."""
+    place = found.select("evidence_id", F.concat("repo", F.lit("/"), "path").alias("file"))
+    told = records.select("record_id", "fact_id", "scenario_id", "evidence_id", "snippet_hash").join(place, "evidence_id", "left")
+    named = [F.concat(F.lit(f"{c}:"), c) for c in ("fact_id", "scenario_id", "file", "snippet_hash")]
+    keys = told.select("record_id", F.explode(F.array_compact(F.array(*named))).alias("key")).distinct()
+    grouped = cut(components.shared_key_groups(records.select("record_id"), "record_id", keys), "grouped")
+    split = splits.greedy_split(grouped.groupBy("root").agg(F.count("*").alias("n")), "root", "n", shares)
+    placed = records.join(grouped.join(split, "root").select("record_id", "split"), "record_id")
+    return splits.ratio_cap(placed, "record_id", "split", "linked", least)
+
+
 def dataset_errors(split: DataFrame, errors: DataFrame, keys: list[str], least: float = 0.5) -> DataFrame:
     """(subject, reason, n): what is wrong with a dataset of records with a `split`; nothing, if it may be used.
 
@@ -154,6 +179,6 @@ def dataset_errors(split: DataFrame, errors: DataFrame, keys: list[str], least:
     wrong = errors.select(F.explode("errors").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).select(F.lit("records").alias("subject"), "reason", "n")
     out = few.unionByName(wrong)
     for key in keys:
-        shared = leakage(split.filter(F.col(key).isNotNull()), key, "split").agg(F.count("*").alias("n")).filter("n > 0")
+        shared = splits.leakage(split.filter(F.col(key).isNotNull()), key, "split").agg(F.count("*").alias("n")).filter("n > 0")
         out = out.unionByName(shared.select(F.lit(key).alias("subject"), F.lit("cross_split_provenance_leakage").alias("reason"), "n"))
     return out

@@ -234,11 +234,15 @@ def fuse(rankings: list[DataFrame], key: str, k: int, weights: DataFrame | None
     return top(total, key, k)
 
 
-def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
+#: Makes sparse vectors (id, bucket, value) of texts (id, body): buckets below BUCKETS, a length of 1.
+Embedder = Callable[[DataFrame], DataFrame]
+
+
+def corpus_tables(chunks: DataFrame, embedder: Embedder | None = None) -> dict[str, DataFrame]:
     """What searches read of a corpus: `documents` (id, path, reference, dl) of its searchable chunks, each id once,
     `postings` (term, id, tf) and `vectors` (id, b, v): buckets and values.
 
-    The text of a chunk is its place, its symbol and its content.
+    The text of a chunk is its place, its symbol and its content. Without an `embedder` vectors are hashed terms.
     """
     one = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
     body = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content")
@@ -248,7 +252,7 @@ def corpus_tables(chunks: DataFrame) -> dict[str, DataFrame]:
     # a document's length is what its postings add up to
     sizes = kept.groupBy("id").agg(F.sum("tf").cast("int").alias("dl"))
     told = cut(docs.drop("body").join(sizes, "id", "left").select("id", "path", "reference", F.coalesce("dl", F.lit(0)).alias("dl")), "documents")
-    return {"documents": told, "postings": kept, "vectors": cut(pack_vectors(hashed_of(kept, "id"), "id"), "vectors")}
+    return {"documents": told, "postings": kept, "vectors": cut(pack_vectors(embedder(docs.select("id", "body")) if embedder else hashed_of(kept, "id"), "id"), "vectors")}
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
@@ -256,7 +260,7 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybri
     return search_tables(corpus_tables(chunks), queries, k, mode)
 
 
-def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
+def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mode: str = "hybrid", embedder: Embedder | None = None) -> DataFrame:
     """(query_id, id, score, rank, reference): the best `k` chunks of each query (query_id, query).
 
     Blank queries find nothing. `hybrid` fuses the lexical ranking, weighted by kind of source, with that of hashed
@@ -273,7 +277,8 @@ def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mo
     if mode != "vector":
         lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, weight), "id", n)
     if mode != "lexical":
-        vector = top(nearest_packed(kept["vectors"], "id", pack_vectors(hashed_vectors(asked, "query_id", "query"), "query_id"), n), "id", n)
+        sought = embedder(asked.select(F.col("query_id").alias("id"), F.col("query").alias("body"))).withColumnRenamed("id", "query_id") if embedder else hashed_vectors(asked, "query_id", "query")
+        vector = top(nearest_packed(kept["vectors"], "id", pack_vectors(sought, "query_id"), n), "id", n)
     if mode == "hybrid":
         ids = lexical.select("query_id", "id").unionByName(vector.select("query_id", "id")).distinct()
         weights = ids.join(kinds, "id").join(asked, "query_id").select("query_id", "id", weight.alias("weight"))

@@ -11,6 +11,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -61,13 +62,37 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
+#: Folders that `cut` has written and that are still there.
+_written: set[str] = set()
+
+
+def _sweep() -> None:
+    """Delete what is left of this process's intermediate tables."""
+    jvm = SparkContext._jvm
+    for path in list(_written):
+        try:
+            if path.startswith("file:") or "://" not in path:
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), True)
+            elif jvm is not None:
+                jpath = jvm.org.apache.hadoop.fs.Path(path)
+                jpath.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(jpath, True)
+        except Exception:  # noqa: BLE001, S110 - the machine that holds them may be gone already
+            pass
+    _written.clear()
+
+
 def cut(df: DataFrame, label: str = "t") -> DataFrame:
     """`df` written once to the shared folder and read back: no lineage to recompute, and true sizes for the planner.
 
-    Survives the loss of executors, unlike cached or locally checkpointed data.
+    Survives the loss of executors, unlike cached or locally checkpointed data. It lasts until it is dropped, or until
+    the driver's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/siltstone/{label}-{uuid.uuid4().hex}"
+    # by now the gateway is there, whose own end is then after this
+    atexit.unregister(_sweep)
+    atexit.register(_sweep)
+    _written.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -79,6 +104,7 @@ def drop(*tables: DataFrame) -> None:
         for file in df.inputFiles()[:1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
             if "/siltstone/" in str(path):
+                _written.difference_update([w for w in _written if w.rsplit("/", 1)[-1] == path.getName()])
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

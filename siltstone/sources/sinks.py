@@ -60,6 +60,13 @@ def export_dataset(examples: DataFrame, splits: DataFrame, folder: str) -> None:
     drop(rows)
 
 
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, the columns): rows that one table has more often than the other; none if both hold the same."""
+    right = right.select(left.columns)
+    only = lambda a, b, name: a.exceptAll(b).select(F.lit(name).alias("side"), "*")
+    return only(left, right, "left").unionByName(only(right, left, "right"))
+
+
 def content_hash(df: DataFrame) -> DataFrame:
     """(rows, content_hash): a digest of a table that does not hang on the order of its rows.
 

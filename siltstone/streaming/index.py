@@ -79,15 +79,18 @@ class Index(Versions):
     changes once it counts.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, write: bool = True, wait: float = LOCK_SECONDS):
+    def __init__(self, spark: SparkSession, folder: str, write: bool = True, wait: float = LOCK_SECONDS, embedder: tuple[str, retrieval.Embedder] | None = None):
+        """`embedder` is a function and the name that it goes by; an index is read with the one that it was made with."""
         super().__init__(spark, folder)
+        self._embedder = embedder[1] if embedder else None
+        self.made_by = VERSION if embedder is None else f"{embedder[0]}/{chunking.VERSION}/{screening.VERSION}"
         self._owner: str | None = None
         if write:
             self._lock(wait)
         now = self.current()
-        if now and now["made_by"] != VERSION:
+        if now and now["made_by"] != self.made_by:
             self.close()
-            raise IncompatibleIndex(f"the index was made by {now['made_by']}, this is {VERSION}")
+            raise IncompatibleIndex(f"the index was made by {now['made_by']}, this is {self.made_by}")
 
     def _lock(self, wait: float) -> None:
         path, owner, until = f"{self.folder}/LOCK", uuid.uuid4().hex, time.time() + wait
@@ -135,7 +138,7 @@ class Index(Versions):
         if todo.filter(~screening.safe(F.col("content"))).limit(1).count():
             raise ValueError("a file is unsafe; nothing was indexed")
         made = cut(parse(todo), "chunks")
-        fresh = retrieval.corpus_tables(made)
+        fresh = retrieval.corpus_tables(made, self._embedder)
         if now:
             gone = diff.filter("state = 'changed'" + (" or state = 'deleted'" if prune else "")).select("file_key")
             old = self.read("chunks")
@@ -152,14 +155,14 @@ class Index(Versions):
         # a search for few terms or of one symbol reads few row groups
         parts["postings"] = parts["postings"].repartitionByRange("term").sortWithinPartitions("term")
         parts["chunks"] = parts["chunks"].repartitionByRange("file_key").sortWithinPartitions("file_key")
-        self.publish(now, parts, {"made_by": VERSION})
+        self.publish(now, parts, {"made_by": self.made_by})
         embedded = made.count()
         drop(diff, made, *fresh.values())
         return Update(counts.get("added", 0) + counts.get("changed", 0), counts.get("unchanged", 0) + counts.get("recommitted", 0), counts.get("deleted", 0) if prune else 0, embedded)
 
     def search(self, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
         """The best `k` chunks of each query, from what is kept; see `retrieval.search_tables`."""
-        return retrieval.search_tables({name: self.read(name) for name in ("documents", "postings", "vectors")}, queries, k, mode)
+        return retrieval.search_tables({name: self.read(name) for name in ("documents", "postings", "vectors")}, queries, k, mode, self._embedder)
 
     def find_symbol(self, symbol: str) -> DataFrame:
         return retrieval.find_symbol(self.read("chunks"), symbol)

@@ -199,6 +199,34 @@ def test_records_and_what_is_wrong_with_them(spark):
     assert told == {("train", "below_minimum_code_coverage"): 3, ("fact_id", "cross_split_provenance_leakage"): 1, ("evidence_id", "cross_split_provenance_leakage"): 1}
 
 
+def test_records_are_deduplicated_and_split_together(spark):
+    rows = [(f"r{i}", f"Question {'same words here now' if i < 3 else f'number{i} alone{i} other{i}'}?" + (records.APPLIED + "`f`." if i == 2 else ""), f"Premise {'one' if i < 3 else i}.", i % 2 == 0, f"f{i // 2}", f"s{i}", f"e{i}" if i % 2 == 0 else None, f"h{i}" if i % 2 == 0 else None) for i in range(40)]
+    made = spark.createDataFrame(rows, "record_id string, instruction string, scenario_premise string, linked boolean, fact_id string, scenario_id string, evidence_id string, snippet_hash string")
+    told = {r["record_id"]: r["duplicate_of"] for r in records.deduplicate(made).collect()}
+    assert told["r1"] == "r0" and told["r0"] is None and told["r2"] == "r0" and sum(v is not None for v in told.values()) == 2
+    found = spark.createDataFrame([(f"e{i}", "r", f"p{i // 8}") for i in range(0, 40, 2)], "evidence_id string, repo string, path string")
+    out = records.split_records(made, found, 0.5).collect()
+    assert {r["split"] for r in out} == {"train", "validation", "test"}
+    by_fact, by_file = {}, {}
+    for r in out:
+        by_fact.setdefault(r["fact_id"], set()).add(r["split"])
+        by_file.setdefault(int(r["record_id"][1:]) // 8, set()).add(r["split"])
+    assert all(len(x) == 1 for x in [*by_fact.values(), *by_file.values()])
+    assert len(out) == 40 and sinks.differences(made, made).count() == 0 and sinks.differences(made, made.limit(39)).count() == 1
+
+
+def test_an_index_by_another_embedder(spark, tmp_path):
+    files = spark.createDataFrame([("r", "a.md", "markdown", "h", "c", "# One\nalpha\n# Two\nbeta\n")], FILES)
+    by_length = lambda df: df.select("id", (F.length("body") % 7).cast("int").alias("bucket"), F.lit(1.0).alias("value"))
+    one = ix.Index(spark, str(tmp_path / "i"), embedder=("length-7", by_length))
+    one.update(files)
+    asked = spark.createDataFrame([(1, "x" * len("r/a.md # One # One\nalpha"))], "query_id int, query string")
+    assert {round(r["score"], 3) for r in one.search(asked, 5, "vector").collect()} <= {1.0}
+    one.close()
+    with pytest.raises(ix.IncompatibleIndex):
+        ix.Index(spark, str(tmp_path / "i"), write=False)
+
+
 def test_teacher_training_data_and_contexts(spark):
     prompts = spark.createDataFrame([(1, "r/a:1-2", "p"), (2, "r/b:1-2", "q")], "n int, reference string, prompt string")
     said = examples.ask_teacher(prompts, lambda ps: [f"As r/a:1-2 shows, {p} " + "words " * 20 for p in ps]).collect()
@@ -284,3 +312,21 @@ def test_command_line(spark, tmp_path, capsys):
     assert [b["line_no"] for b in told["b.md"]] == [1, 2] and len(told["sub/a.go"]) == 8
     said = service.answer(ix.Index(spark, out + "/index", write=False), "ledger", lambda p: "token: abcdef" if "How the ledger is kept" in p else "no")
     assert said == examples.REFUSAL
+
+
+def test_intermediate_tables_are_swept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "_written", set())
+    kept = runtime.cut(spark.range(3), "kept")
+    gone = runtime.cut(spark.range(3), "gone")
+    folder = {k.rsplit("/", 1)[-1].split("-")[0]: k for k in runtime._written}
+    runtime.drop(gone)
+    assert runtime._written == {folder["kept"]} and kept.count() == 3
+    runtime._sweep()
+    assert not runtime._written and not any(__import__("pathlib").Path(p.removeprefix("file://")).exists() for p in folder.values())
+
+
+def test_scans_are_spread_only_where_they_are_few(spark, tmp_path):
+    spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
+    assert runtime.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, 1, 9)
+    assert runtime.spread(many) is many
