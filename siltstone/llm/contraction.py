@@ -85,15 +85,19 @@ def components(edges: DataFrame, left: str, right: str, method: str = "hash_orde
     else:
         raise RuntimeError(f"edges are left after {MAX_ROUNDS} rounds")
     roots: DataFrame | None = None
+    before: list[DataFrame] = []
     for hooks in reversed(rounds):
         if roots is None:
+            before = [hooks]
             roots = hooks.select("v", F.col("r").alias("root"))
             continue
         # a root of later rounds hooks no earlier; whoever hooked in this round takes the root of what it hooked to
         later = roots.select(F.col("v").alias("r"), "root")
         moved = hooks.join(later, "r", "left").select("v", F.coalesce("root", "r").alias("root"))
         # a name can hook and yet live on as another's label: both rows then say the same
-        roots = cut(roots.unionByName(moved).distinct(), "roots")
+        unwound = cut(roots.unionByName(moved).distinct(), "roots")
+        drop(hooks, *before)
+        roots, before = unwound, [unwound]
     if roots is None:
         return now.select("v", F.col("w").alias("root"))
     # those that never hooked stand for themselves
