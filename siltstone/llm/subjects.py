@@ -180,7 +180,7 @@ def _fit(sentences: DataFrame, subjects: int, seed: int) -> Model:
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         flat = (flat - STEP * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-6)).astype(np.float32)
-        sent.unpersist()
+        sent.destroy()
     return Model.from_flat(flat, subjects)
 
 
