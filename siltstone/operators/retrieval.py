@@ -43,15 +43,33 @@ def check_search(k: int, mode: str) -> None:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
 
 
-def source_weight(path: Column, query: Column) -> Column:
-    """How much a chunk of `path` weighs for a query: 1, or by its kind if the query asks for architecture."""
+def asks_architecture(query: Column) -> Column:
+    """Whether a query asks for architecture."""
     asks = F.lit(False)
     for word in ARCHITECTURE:
         asks = asks | F.contains(F.lower(query), F.lit(word))
+    return asks
+
+
+def kind_weight(path: Column) -> Column:
+    """How much a chunk of `path` weighs, by its kind, for a query that asks for architecture."""
     weight = F.lit(1.0)
     for pattern, w in reversed(WEIGHTS):
         weight = F.when(F.regexp_like(F.lower(path), F.lit(pattern)), w).otherwise(weight)
-    return F.when(asks, weight).otherwise(1.0)
+    return weight
+
+
+def source_weight(path: Column, query: Column) -> Column:
+    """How much a chunk of `path` weighs for a query: 1, or by its kind if the query asks for architecture."""
+    return F.when(asks_architecture(query), kind_weight(path)).otherwise(1.0)
+
+
+def weigh(scores: DataFrame, docs: DataFrame, key: str, queries: DataFrame, score: str) -> DataFrame:
+    """`scores` (query_id, key, ..) with `score` weighed: each path and each query is looked at once, not each pair."""
+    kinds = docs.select(key, kind_weight(F.col("path")).alias("_kind"))
+    asking = queries.select("query_id", asks_architecture(F.col("query")).alias("_asks"))
+    weight = F.when(F.col("_asks"), F.col("_kind")).otherwise(1.0)
+    return scores.join(kinds, key).join(asking, "query_id").withColumn(score, F.col(score) * weight).drop("_kind", "_asks")
 
 
 def searchable(chunks: DataFrame) -> DataFrame:
@@ -79,28 +97,28 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("query")))).alias("term"))
 
 
-def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, weight: Column | None = None) -> DataFrame:
+def bm25(docs: DataFrame, key: str, text: str, queries: DataFrame, weighted: bool = False) -> DataFrame:
     """(query_id, key, score) of all documents with a term of a query, and a score above 0.
 
     Only postings of the queries' terms leave the tokenisation: lengths are counted in the same pass over the documents
-    by the size of their token arrays. `weight` may use the columns of `docs` and `query`.
+    by the size of their token arrays. `weighted` ones weigh by `source_weight` of their `path`.
     """
     tokens = tx.tokens(F.col(text))
     sized = docs.select("*", F.size(tokens).alias("dl"), tokens.alias("tokens"))
     terms = query_terms(queries)
     # the posting side is cut by a semi join before it is counted; the planner broadcasts the terms where they are few
     hits = sized.select(key, "dl", F.explode_outer("tokens").alias("term")).join(terms.select("term").distinct(), "term", "left_semi").groupBy("term", key, "dl").agg(F.count("*").alias("tf"))
-    return _scores(hits, sized, key, docs, terms, queries, weight)
+    return _scores(hits, sized, key, docs, terms, queries, weighted)
 
 
-def bm25_of(kept: DataFrame, docs: DataFrame, key: str, queries: DataFrame, weight: Column | None = None) -> DataFrame:
+def bm25_of(kept: DataFrame, docs: DataFrame, key: str, queries: DataFrame, weighted: bool = False) -> DataFrame:
     """`bm25` from postings (term, key, tf) that are kept, and `docs` with the length `dl` of each: no text is read."""
     terms = query_terms(queries)
     hits = kept.join(terms.select("term").distinct(), "term", "left_semi").join(docs.select(key, "dl"), key)
-    return _scores(hits, docs, key, docs, terms, queries, weight)
+    return _scores(hits, docs, key, docs, terms, queries, weighted)
 
 
-def _scores(hits: DataFrame, sized: DataFrame, key: str, docs: DataFrame, terms: DataFrame, queries: DataFrame, weight: Column | None) -> DataFrame:
+def _scores(hits: DataFrame, sized: DataFrame, key: str, docs: DataFrame, terms: DataFrame, queries: DataFrame, weighted: bool) -> DataFrame:
     stats = sized.agg(F.count("*").alias("n_docs"), F.coalesce(F.nullif(F.avg("dl"), F.lit(0.0)), F.lit(1.0)).alias("avg_dl"))
     df = hits.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -108,8 +126,8 @@ def _scores(hits: DataFrame, sized: DataFrame, key: str, docs: DataFrame, terms:
     # one row of statistics
     scored = hits.join(df, "term").crossJoin(F.broadcast(stats)).select("term", key, (idf * tf).alias("s"))
     found = scored.join(terms, "term").groupBy("query_id", key).agg(F.sum("s").alias("s"))
-    if weight is not None:
-        found = found.join(docs, key).join(queries, "query_id").select("query_id", key, (F.col("s") * weight).alias("s"))
+    if weighted:
+        found = weigh(found, docs, key, queries, "s")
     return found.select("query_id", key, F.round("s", SCORE_DIGITS).alias("score")).filter("score > 0")
 
 
@@ -271,23 +289,21 @@ def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mo
     docs = kept["documents"]
     asked = queries.filter(tx.collapse(F.col("query")) != "")
     n = candidates_for(k)
-    weight = source_weight(F.col("path"), F.col("query"))
-    kinds = docs.select("id", "path")
     lexical = vector = None
     if mode != "vector":
-        lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, weight), "id", n)
+        lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, True), "id", n)
     if mode != "lexical":
         sought = embedder(asked.select(F.col("query_id").alias("id"), F.col("query").alias("body"))).withColumnRenamed("id", "query_id") if embedder else hashed_vectors(asked, "query_id", "query")
         vector = top(nearest_packed(kept["vectors"], "id", pack_vectors(sought, "query_id"), n), "id", n)
     if mode == "hybrid":
         ids = lexical.select("query_id", "id").unionByName(vector.select("query_id", "id")).distinct()
-        weights = ids.join(kinds, "id").join(asked, "query_id").select("query_id", "id", weight.alias("weight"))
+        weights = weigh(ids.withColumn("weight", F.lit(1.0)), docs, "id", asked, "weight")
         best = fuse([lexical, vector], "id", k, weights)
     elif mode == "lexical":
         best = lexical.filter(F.col("rank") <= k).select("query_id", "id", "score", "rank")
     else:
-        weighted = vector.join(kinds, "id").join(asked, "query_id").select("query_id", "id", F.round(F.col("score") * weight, SCORE_DIGITS).alias("score"))
-        best = top(weighted, "id", k)
+        weighed = weigh(vector.select("query_id", "id", "score"), docs, "id", asked, "score")
+        best = top(weighed.withColumn("score", F.round("score", SCORE_DIGITS)), "id", k)
     return best.join(docs.select("id", "reference"), "id").select("query_id", "id", "score", "rank", "reference")
 
 

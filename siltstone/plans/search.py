@@ -32,7 +32,7 @@ def chunk_texts(spark: SparkSession, d: str) -> DataFrame:
 
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     asked = questions(spark, d)
-    scores = retrieval.bm25(chunk_texts(spark, d), "id", "body", asked, retrieval.source_weight(F.col("path"), F.col("query")))
+    scores = retrieval.bm25(chunk_texts(spark, d), "id", "body", asked, True)
     return retrieval.top(scores, "id", 50)
 
 
