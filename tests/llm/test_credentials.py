@@ -136,3 +136,41 @@ def test_models_are_kept(model, tmp_path):
     back = c.Model.load(str(tmp_path / "m.npz"))
     found = c.candidates('password = "zorquibvex84312" // zorquib')
     assert list(back.score(found, c.MESSAGE)) == list(model.score(found, c.MESSAGE))
+
+
+def test_all_files_teach_ordinary_words(spark, monkeypatch):
+    """Each word stands in three of 24,000 files: a word is only ordinary if all three were read."""
+    monkeypatch.setattr(c, "PASSES", 1)
+    spell = lambda i: "".join("abcdefghij"[int(x)] for x in f"{i:06d}")
+    rows = [(f"r{i}", "x.md", "1", f"about {spell(i % 8000)} here", None) for i in range(24000)]
+    words = c.train(spark.createDataFrame(rows, SCHEMA)).words
+    assert [i for i in range(8000) if spell(i) not in words] == []
+
+
+def test_all_candidates_teach(spark, monkeypatch):
+    """The letters of 63,000 given passwords are all counted, wherever they are."""
+    monkeypatch.setattr(c, "PASSES", 1)
+    draw = random.Random(11)
+    given = ["".join(draw.choices("bcdfghjklmnpqrstvwxz", k=9)) + "7" for _ in range(63000)]
+    rows = [(f"r{i}", "x.yml", "1", "\n".join(f"password: {v}" for v in given[i::300]), None) for i in range(300)]
+    model = c.train(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    ordinary = model.markov[0]
+    strange = [v[:-1] for v in given if c._gain(v[:-1], (ordinary, ordinary))[1] < c.STRANGE]
+    assert len(strange) > 60000
+    assert c.np.allclose(model.markov[1], c.log_likelihoods(c.count_trigrams(strange)))
+
+
+def test_counts_of_parts_add_up():
+    assert (c.count_trigrams(WORDS) == c.count_trigrams(WORDS[:7]) + c.count_trigrams(WORDS[7:])).all()
+
+
+def test_what_is_found_while_training_is_what_the_model_finds(spark):
+    rows, truth = files(500, 5)
+    key = "-----BEGIN PRIVATE KEY-----\n" + ("A1b2" * 16 + "\n") * 3 + "-----END PRIVATE KEY-----"
+    rows += [("k", "k.pem", "1", f"x = 1\n{key}\n", [None, key]), (None, None, "2", None, ["", "nothing"])] + rows[:3]
+    df = spark.createDataFrame(rows, SCHEMA)
+    own = {tuple(r) for r in c.find_secrets(df.repartition(3)).collect()}
+    assert own == {tuple(r) for r in c.find_secrets(df, c.train(df)).collect()}
+    assert {("k", "k.pem", "1", "content", 2), ("k", "k.pem", "1", "commit_messages", 2)} <= own
+    got = {(r[0], r[3], r[4]) for r in own if r[0] != "k"}
+    assert len(got & truth) >= 0.95 * max(len(got), len(truth))
