@@ -7,15 +7,18 @@ descending, id ascending) of scores rounded to SCORE_DIGITS, so that they do not
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions import text as tx
+from siltstone.operators import products
 from siltstone.runtime import cut, ship
 
 SCORE_DIGITS = 6
@@ -131,6 +134,38 @@ def _scores(hits: DataFrame, sized: DataFrame, key: str, docs: DataFrame, terms:
     return found.select("query_id", key, F.round("s", SCORE_DIGITS).alias("score")).filter("score > 0")
 
 
+def bm25_best(docs: DataFrame, key: str, text: str, queries: DataFrame, k: int, weighted: bool = False) -> DataFrame:
+    """`bm25` of any number of queries, of each at least the best `k`: by blocks, so that no pair of a query and a
+    document is ever a row before it is known to be among the best of its block."""
+    extra = [kind_weight(F.col("path")).alias("kind")] if weighted else []
+    rows = products.pack(docs.select(key, text, *extra), text, key, *["kind"] * weighted)
+    return bm25_packed(cut(rows, "terms"), key, pack_queries(queries, weighted), k)
+
+
+def pack_queries(queries: DataFrame, weighted: bool, vectors: bool = False) -> DataFrame:
+    """`products.pack` of queries, with whether each `asks` for architecture if they are `weighted`."""
+    extra = [asks_architecture(F.col("query")).alias("asks")] if weighted else []
+    return cut(products.pack(queries.select("query_id", "query", *extra), "query", "query_id", *["asks"] * weighted, hashed=HASHED if vectors else None), "asked")
+
+
+def bm25_packed(docs: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
+    """`bm25_best` of stored rows of `products.pack`."""
+    n_docs, avg_dl = docs.agg(F.count("*"), F.coalesce(F.nullif(F.avg("dl"), F.lit(0.0)), F.lit(1.0))).first()
+    df = docs.select(F.explode("term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    extra = [c for c in ("asks",) if c in asked.columns]
+    terms = asked.select("query_id", *extra, F.explode("term").alias("term")).join(df, "term")
+    sought = terms.groupBy("query_id", *extra).agg(F.collect_list(F.struct("term", idf.alias("idf"))).alias("t")).select("query_id", *extra, F.col("t.term").alias("term"), F.col("t.idf").alias("idf"))
+
+    def part(rows: pa.Table) -> np.ndarray:
+        size, tf = products.flat(rows["tf"])
+        tf, length = tf.to_numpy().astype(float), np.repeat(rows["dl"].to_numpy() / avg_dl, size)
+        return tf * (K1 + 1) / (tf + K1 * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * length))
+
+    kept = docs.select(key, *[c for c in ("kind",) if c in docs.columns], "dl", "term", "tf")
+    return products.best(kept, key, cut(sought, "asked"), k, "term", part, lambda rows: products.flat(rows["idf"])[1].to_numpy())
+
+
 def bucket_and_sign(term: Column) -> Column:
     """Where a term is counted in a hashed vector, and as what: by the first five bytes of its digest."""
     digest = tx.digest(term)
@@ -139,6 +174,16 @@ def bucket_and_sign(term: Column) -> Column:
     return F.struct(bucket.cast("int").alias("bucket"), F.when(odd, 1).otherwise(-1).alias("sign"))
 
 
+def bucket_and_sign_of(term: str) -> tuple[int, int]:
+    """`bucket_and_sign` in Python."""
+    h = hashlib.sha256(term.encode()).digest()
+    return int.from_bytes(h[:4], "big") % BUCKETS, 1 if h[4] % 2 else -1
+
+
+#: What `products.pack` needs to make hashed vectors beside the terms.
+HASHED = (BUCKETS, bucket_and_sign_of)
+
+
 def hashed_vectors(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, bucket, value): sparse unit vectors of signed, hashed term counts; documents without terms have none.
 
