@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as tx
-from siltstone.runtime import ship, spread
+from siltstone.runtime import ship
 
 #: Queries up to which they go to where the documents are; queries and documents of a group, which one task multiplies.
 FEW, QUERY_GROUP, DOCUMENT_GROUP = 1_000, 20_000, 40_000
@@ -32,7 +32,7 @@ Values = Callable[[pa.Table], np.ndarray]
 def pack(rows: DataFrame, text: str, *kept: str, hashed: tuple[int, Callable[[str], tuple[int, int]]] | None = None) -> DataFrame:
     """(kept.., dl, term, tf): of each row how many tokens its text has, its distinct tokens and how often each comes.
 
-    Nothing is shuffled. With `hashed`, a number of buckets and a function that gives a term's bucket and sign, also (b,
+    Nothing is shuffled. The words of `term` hold no spaces. With `hashed`, a number of buckets and a function that gives a term's bucket and sign, also (b,
     v): the buckets of the row's hashed vector and its numbers, which have the length 1.
     """
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
@@ -56,14 +56,16 @@ def pack(rows: DataFrame, text: str, *kept: str, hashed: tuple[int, Callable[[st
                 names += ["b", "v"]
             yield pa.RecordBatch.from_arrays(out, names)
 
-    tokens = spread(rows.select(*kept, text)).select(*kept, F.coalesce(tx.tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens"))
+    tokens = rows.select(*kept, F.coalesce(tx.tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens"))
     return tokens.mapInArrow(run, f"{kinds}, dl int, term array<string>, tf array<int>" + (", b array<int>, v array<double>" if hashed else ""))
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
-    """How long each list is, and all their values."""
+    """How long each list is, and all their values; words with spaces between are a list too."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if pa.types.is_string(column.type):
+        column = pc.split_pattern(column, " ")
     return pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64), column.flatten()
 
 
@@ -102,11 +104,13 @@ def best(docs: DataFrame, key: str, asked: DataFrame, k: int, term: str, of_docu
         return docs.mapInArrow(run, schema)
     n, down = docs.count(), -(-queries // QUERY_GROUP)
     # enough groups for all cores, but none of less than a block
-    across = max(-(-n // DOCUMENT_GROUP), min(-(-n // DOCUMENTS), -(-3 * spark.sparkContext.defaultParallelism // down)), 1)
+    across = max(-(-n // DOCUMENT_GROUP), min(-(-n // DOCUMENTS), -(-2 * spark.sparkContext.defaultParallelism // down)), 1)
     group = lambda c, of: F.pmod(F.xxhash64(c), F.lit(of)).cast("int")
     numbers = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
-    left = asked.select("*", group("query_id", down).alias("y"), numbers(across).alias("x"))
-    right = docs.select("*", group(key, across).alias("x"), numbers(down).alias("y"))
+    # a row of an array takes 16 bytes and more for each word
+    slim = lambda df: df.filter(F.size(term) > 0).withColumn(term, F.concat_ws(" ", term)) if kind(df, term) == "array<string>" else df
+    left = slim(asked).select("*", group("query_id", down).alias("y"), numbers(across).alias("x"))
+    right = slim(docs).select("*", group(key, across).alias("x"), numbers(down).alias("y"))
     return left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInArrow(multiply, schema)
 
 

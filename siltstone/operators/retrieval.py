@@ -69,8 +69,8 @@ def source_weight(path: Column, query: Column) -> Column:
 
 def weigh(scores: DataFrame, docs: DataFrame, key: str, queries: DataFrame, score: str) -> DataFrame:
     """`scores` (query_id, key, ..) with `score` weighed: each path and each query is looked at once, not each pair."""
-    kinds = docs.select(key, kind_weight(F.col("path")).alias("_kind"))
-    asking = queries.select("query_id", asks_architecture(F.col("query")).alias("_asks"))
+    kinds = docs.select(key, (F.col("kind") if "kind" in docs.columns else kind_weight(F.col("path"))).alias("_kind"))
+    asking = queries.select("query_id", (F.col("asks") if "asks" in queries.columns else asks_architecture(F.col("query"))).alias("_asks"))
     weight = F.when(F.col("_asks"), F.col("_kind")).otherwise(1.0)
     return scores.join(kinds, key).join(asking, "query_id").withColumn(score, F.col(score) * weight).drop("_kind", "_asks")
 
@@ -142,9 +142,15 @@ def bm25_best(docs: DataFrame, key: str, text: str, queries: DataFrame, k: int,
     return bm25_packed(cut(rows, "terms"), key, pack_queries(queries, weighted), k)
 
 
+def bm25_of_all(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """`bm25_best` where each document asks with its own text."""
+    rows = cut(products.pack(docs, text, key), "terms")
+    return bm25_packed(rows, key, rows.select(F.col(key).alias("query_id"), "term"), k)
+
+
 def pack_queries(queries: DataFrame, weighted: bool, vectors: bool = False) -> DataFrame:
     """`products.pack` of queries, with whether each `asks` for architecture if they are `weighted`."""
-    extra = [asks_architecture(F.col("query")).alias("asks")] if weighted else []
+    extra = [F.coalesce(asks_architecture(F.col("query")), F.lit(False)).alias("asks")] if weighted else []
     return cut(products.pack(queries.select("query_id", "query", *extra), "query", "query_id", *["asks"] * weighted, hashed=HASHED if vectors else None), "asked")
 
 
@@ -213,17 +219,23 @@ def pack_vectors(vectors: DataFrame, key: str) -> DataFrame:
 
 def nearest(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
     """(query_id, key, score): `sparse_cosine` of hashed vectors for many queries, of each at least the best `k`."""
-    return nearest_packed(cut(pack_vectors(vectors, key), "packed"), key, pack_vectors(asked, "query_id"), k)
+    return nearest_packed(cut(pack_vectors(vectors, key), "packed"), key, cut(pack_vectors(asked, "query_id"), "asked"), k)
 
 
 def nearest_packed(vectors: DataFrame, key: str, asked: DataFrame, k: int) -> DataFrame:
     """`nearest` of packed vectors (key, b, v) that are stored."""
-    def matrix(rows: pd.DataFrame) -> np.ndarray:
-        out = np.zeros((len(rows), BUCKETS))
-        out[np.repeat(np.arange(len(rows)), rows["b"].map(len)), np.concatenate(rows["b"].tolist())] = np.concatenate(rows["v"].tolist())
-        return out
+    value = lambda rows: products.flat(rows["v"])[1].to_numpy(zero_copy_only=False)
+    return products.best(vectors.select(key, "b", "v"), key, asked.select("query_id", "b", "v"), k, "b", value, value)
 
-    return _products(vectors, key, asked, k, matrix, True)
+
+def hybrid_best(docs: DataFrame, key: str, text: str, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, key, score, rank): the best `k` of each query by the fused rankings of BM25 and of hashed vectors.
+
+    Texts are cut into terms once for both.
+    """
+    rows = cut(products.pack(docs.select(key, text), text, key, hashed=HASHED), "terms")
+    asked, n = pack_queries(queries, False, True), candidates_for(k)
+    return fuse([top(bm25_packed(rows, key, asked, n), key, n), top(nearest_packed(rows, key, asked, n), key, n)], key, k)
 
 
 def dense_cosine(vectors: DataFrame, key: str, vector: str, asked: DataFrame, k: int) -> DataFrame:
@@ -301,16 +313,21 @@ def fuse(rankings: list[DataFrame], key: str, k: int, weights: DataFrame | None
 Embedder = Callable[[DataFrame], DataFrame]
 
 
+def searched(chunks: DataFrame) -> DataFrame:
+    """(id, path, reference, body) of the searchable chunks, each id once."""
+    one = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
+    body = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content")
+    reference = F.concat("repo", F.lit("/"), "path", F.lit(":"), F.col("start_line"), F.lit("-"), F.col("end_line"))
+    return one.select("id", "path", reference.alias("reference"), body.alias("body"))
+
+
 def corpus_tables(chunks: DataFrame, embedder: Embedder | None = None) -> dict[str, DataFrame]:
     """What searches read of a corpus: `documents` (id, path, reference, dl) of its searchable chunks, each id once,
     `postings` (term, id, tf) and `vectors` (id, b, v): buckets and values.
 
     The text of a chunk is its place, its symbol and its content. Without an `embedder` vectors are hashed terms.
     """
-    one = searchable(chunks).filter("id is not null").groupBy("id").agg(F.min(F.struct("repo", "path", "symbol", "content", "start_line", "end_line")).alias("c")).select("id", "c.*")
-    body = F.concat_ws(" ", F.concat_ws("/", "repo", "path"), "symbol", "content")
-    reference = F.concat("repo", F.lit("/"), "path", F.lit(":"), F.col("start_line"), F.lit("-"), F.col("end_line"))
-    docs = one.select("id", "path", reference.alias("reference"), body.alias("body"))
+    docs = searched(chunks)
     kept = cut(postings(docs, "id", "body"), "postings")
     # a document's length is what its postings add up to
     sizes = kept.groupBy("id").agg(F.sum("tf").cast("int").alias("dl"))
@@ -319,8 +336,16 @@ def corpus_tables(chunks: DataFrame, embedder: Embedder | None = None) -> dict[s
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = 5, mode: str = "hybrid") -> DataFrame:
-    """(query_id, id, score, rank, reference): `search_tables` over chunks that no index keeps."""
-    return search_tables(corpus_tables(chunks), queries, k, mode)
+    """(query_id, id, score, rank, reference): `search_tables` over chunks that no index keeps, for any number of queries."""
+    check_search(k, mode)
+    docs = searched(chunks).select("id", "body", "reference", kind_weight(F.col("path")).alias("kind"))
+    packed = cut(products.pack(docs, "body", "id", "reference", "kind", hashed=HASHED), "terms")
+    asked = pack_queries(queries.filter(tx.collapse(F.col("query")) != ""), True, True)
+    n = candidates_for(k)
+    # stored, since both fusing and weighing read them
+    lexical = cut(top(bm25_packed(packed, "id", asked, n), "id", n), "lexical") if mode != "vector" else None
+    vector = cut(top(nearest_packed(packed, "id", asked, n), "id", n), "vector") if mode != "lexical" else None
+    return _ranked(lexical, vector, packed, asked, k)
 
 
 def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mode: str = "hybrid", embedder: Embedder | None = None) -> DataFrame:
@@ -339,12 +364,17 @@ def search_tables(kept: dict[str, DataFrame], queries: DataFrame, k: int = 5, mo
         lexical = top(bm25_of(kept["postings"], docs.select("id", "path", "dl"), "id", asked, True), "id", n)
     if mode != "lexical":
         sought = embedder(asked.select(F.col("query_id").alias("id"), F.col("query").alias("body"))).withColumnRenamed("id", "query_id") if embedder else hashed_vectors(asked, "query_id", "query")
-        vector = top(nearest_packed(kept["vectors"], "id", pack_vectors(sought, "query_id"), n), "id", n)
-    if mode == "hybrid":
+        vector = top(nearest_packed(kept["vectors"], "id", cut(pack_vectors(sought, "query_id"), "asked"), n), "id", n)
+    return _ranked(lexical, vector, docs, asked, k)
+
+
+def _ranked(lexical: DataFrame | None, vector: DataFrame | None, docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score, rank, reference): the best `k` of one ranking or of both, weighed."""
+    if lexical is not None and vector is not None:
         ids = lexical.select("query_id", "id").unionByName(vector.select("query_id", "id")).distinct()
         weights = weigh(ids.withColumn("weight", F.lit(1.0)), docs, "id", asked, "weight")
         best = fuse([lexical, vector], "id", k, weights)
-    elif mode == "lexical":
+    elif lexical is not None:
         best = lexical.filter(F.col("rank") <= k).select("query_id", "id", "score", "rank")
     else:
         weighed = weigh(vector.select("query_id", "id", "score"), docs, "id", asked, "score")

@@ -35,3 +35,12 @@ def test_few_queries_ties_and_empty_texts(spark):
     got = rows(retrieval.top(retrieval.bm25_best(docs, "k", "t", asked, 2), "k", 2))
     assert [(r[0], r[1], r[3]) for r in got] == [(1, 0, 1), (1, 1, 2)]
     assert rows(retrieval.bm25_best(docs, "k", "t", asked.limit(0), 2)) == []
+
+
+def test_chunks_are_searched_by_blocks(spark, small):
+    chunks, asked = spark.read.parquet(f"{D}/chunks.parquet"), search.questions(spark, D)
+    docs = search.chunk_texts(spark, D)
+    want = rows(retrieval.top(retrieval.bm25(docs, "id", "body", asked, True), "id", 50))
+    got = search.bm25_topk(spark, D)
+    assert rows(got) == want and want
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().toString()
