@@ -53,3 +53,10 @@ def test_documents_are_fused_by_blocks(spark, small, monkeypatch):
     want = rows(retrieval.fuse([lexical, search._nearest_documents(docs, 50)], "doc_id", 10))
     monkeypatch.delattr(retrieval, "bm25")
     assert rows(search.hybrid_document_search(spark, D)) == want and want
+
+
+def test_chunks_are_fused_by_blocks(spark, small, monkeypatch):
+    chunks, asked = spark.read.parquet(f"{D}/chunks.parquet"), search.questions(spark, D)
+    want = rows(retrieval.search_tables(retrieval.corpus_tables(chunks), asked, 10).drop("reference"))
+    monkeypatch.delattr(retrieval, "bm25_of")
+    assert rows(search.hybrid_topk(spark, D)) == want and want
