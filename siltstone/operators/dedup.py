@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions.text import digest, fingerprint
 from siltstone.operators.components import components
-from siltstone.runtime import cut, drop
+from siltstone.runtime import cut, drop, ship
 
 #: Links of a component that one task goes through in order; larger components are decided in rounds.
 FOLD_LINKS = 200_000
 COSINE_DIGITS = 4
 #: Parts that a vector's terms are hashed into for a bound of its products.
 PARTS = 64
+#: Vectors of a term whose bounds are one product of matrices, and how far single precision may be off.
+PAIR_BLOCK, SLACK = 2_000, 1e-5
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -101,6 +107,42 @@ def equal_texts(rows: DataFrame, key: str, text: str) -> DataFrame:
     return marked.join(least, "_text").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
 
 
+def _alike(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows (k, term, l) sorted by term, the pairs (k, j) of rows of one term whose product is at least `least`."""
+    def of_terms(rows: pa.Table, ends: list[int]) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        lengths, left, right = rows["l"].combine_chunks().flatten().to_numpy().reshape(-1, PARTS), [], []
+        for start, end in zip([0, *ends], ends):
+            for i0 in range(start, end, PAIR_BLOCK):
+                for j0 in range(i0, end, PAIR_BLOCK):
+                    i, j = np.nonzero(lengths[i0 : min(end, i0 + PAIR_BLOCK)] @ lengths[j0 : min(end, j0 + PAIR_BLOCK)].T >= least)
+                    both = i + i0 < j + j0
+                    left.append(i[both] + i0)
+                    right.append(j[both] + j0)
+        if left:
+            # a pair may share many terms
+            i, j = np.divmod(np.unique(np.concatenate(left) * len(rows) + np.concatenate(right)), len(rows))
+            yield pa.RecordBatch.from_arrays([rows["k"].combine_chunks().take(pa.array(i)), rows["k"].combine_chunks().take(pa.array(j))], ["k", "j"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            # rows of the last term wait for those of the next batch
+            if held and held[-1]["term"][-1] == batch["term"][0] and batch["term"][0] == batch["term"][-1]:
+                held.append(batch)
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            code = rows["term"].combine_chunks().dictionary_encode().indices.to_numpy()
+            ends = (np.flatnonzero(code[1:] != code[:-1]) + 1).tolist()
+            if ends:
+                yield from of_terms(rows.slice(0, ends[-1]), ends)
+            held = rows.slice(ends[-1] if ends else 0).to_batches()
+        if held:
+            yield from of_terms(rows := pa.Table.from_batches(held), [len(rows)])
+
+    return run
+
+
 def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     """(a, b, similarity): pairs of sparse vectors (key, term, value) whose cosine, rounded, is at least `least`, a < b.
 
@@ -108,8 +150,8 @@ def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     each unit vector only the terms are indexed before the rest of it is shorter than the least cosine that rounds to
     `least`. Two vectors that share no indexed term share terms only in the rest of one of them, and their product is
     then below that. Two that share one are a candidate only if the product of their lengths in each of PARTS parts
-    of the terms, summed, comes to as much: no product exceeds that. The bound is computed where the pair is made, from
-    the index alone, so that what fails it is never moved.
+    of the terms, summed, comes to as much: no product exceeds that. The bounds of all vectors of an indexed term are
+    products of matrices, made where the index is sorted, so that what fails them is never a row.
     """
     norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(key)))
     unit = cut(vectors.select(F.col(key).alias("k"), "term", (F.col("value") / norm).cast("double").alias("x")).filter("x <> 0"), "vectors")
@@ -121,12 +163,11 @@ def close_vectors(vectors: DataFrame, key: str, least: float) -> DataFrame:
     lengths = unit.groupBy("k").agg(*[F.sqrt(F.sum(F.when(part == i, F.col("x") * F.col("x")).otherwise(0.0))).alias(f"l{i}") for i in range(PARTS)])
     # terms that only one vector has join with nothing
     indexed = unit.join(df, "term").withColumn("rest", rest).filter((F.col("rest") >= lowest * lowest - 1e-9) & (F.col("df") > 1)).select("k", "term")
-    indexed = cut(indexed.join(lengths, "k"), "indexed")
-    other = indexed.select(F.col("k").alias("j"), "term", *[F.col(f"l{i}").alias(f"m{i}") for i in range(PARTS)])
-    bound = F.lit(0.0)
-    for i in range(PARTS):
-        bound = bound + F.col(f"l{i}") * F.col(f"m{i}")
-    pairs = cut(indexed.join(other, "term").filter((F.col("k") < F.col("j")) & (bound >= lowest - 1e-9)).select("k", "j").distinct(), "pairs")
+    indexed = indexed.join(lengths.select("k", F.array(*[F.col(f"l{i}").cast("float") for i in range(PARTS)]).alias("l")), "k")
+    ship(vectors.sparkSession)
+    kind = unit.schema["k"].dataType.simpleString()
+    found = indexed.repartition("term").sortWithinPartitions("term").mapInArrow(_alike(lowest - SLACK), f"k {kind}, j {kind}")
+    pairs = cut(found.filter("k <> j").select(F.least("k", "j").alias("k"), F.greatest("k", "j").alias("j")).distinct(), "pairs")
     both = pairs.join(unit, "k").join(unit.select(F.col("k").alias("j"), "term", F.col("x").alias("y")), ["j", "term"])
     dot = F.round(F.sum(F.col("x") * F.col("y")), COSINE_DIGITS)
     return both.groupBy(F.col("k").alias("a"), F.col("j").alias("b")).agg(dot.alias("similarity")).filter(F.col("similarity") >= least)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators import products, retrieval
+from siltstone.operators import dedup, products, retrieval
 from siltstone.plans import search
 
 D = "/root/testdata/sf0.001"
@@ -78,3 +78,16 @@ def test_every_document_is_a_case_of_recall(spark, small):
     best = retrieval.top(retrieval.bm25(docs, "doc_id", "text", docs.toDF("query_id", "query")), "doc_id", 5)
     found, cases = best.filter("query_id = doc_id").count(), docs.count()
     assert rows(search.recall_at_5(spark, D)) == [(cases, round(found / cases, 6))]
+
+
+def test_bounds_of_close_vectors_are_products_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "PAIR_BLOCK", 3)
+    docs = spark.read.parquet(f"{D}/documents.parquet").filter("text is not null").select("doc_id", "text")
+    vectors = {}
+    for r in retrieval.tf_idf(docs, "doc_id", "text").collect():
+        vectors.setdefault(r["doc_id"], {})[r["term"]] = r["value"]
+    norm = {k: sum(x * x for x in v.values()) ** 0.5 for k, v in vectors.items()}
+    dot = lambda a, b: sum(x * vectors[b].get(t, 0.0) for t, x in vectors[a].items())
+    alike = [(a, b, round(dot(a, b) / norm[a] / norm[b], 4)) for a in vectors for b in vectors if a < b]
+    want = sorted(x for x in alike if x[2] >= 0.92)
+    assert rows(dedup.close_vectors(retrieval.tf_idf(docs, "doc_id", "text"), "doc_id", 0.92)) == want and want
